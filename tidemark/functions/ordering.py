@@ -27,13 +27,13 @@ def with_running_totals(
     ``order`` must be a total order (end it with a unique key); ``within``
     restarts the totals per group, which may be as large as the frame.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = {f"__{name}": value for name, value in totals.items()}
     # The range bounds come from a sample, so the range of each row is written
-    # down once and not recomputed by the two reads below.
+    # down once and not recomputed by the two reads below.  The number of ranges
+    # is left open: small data is coalesced into few, in order.
     ranged = stage(
         df.withColumns(own)
-        .repartitionByRange(parts, *[F.col(c) for c in within], *order)
+        .repartitionByRange(*[F.col(c) for c in within], *order)
         .withColumn("__range", F.spark_partition_id()),
         "ranged",
     )

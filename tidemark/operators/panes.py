@@ -49,7 +49,8 @@ class Calendar:
 
     pieces: DataFrame
     coverage: DataFrame
-    spans: tuple[Span, ...]
+    first_us: int
+    last_us: int
 
 
 def build_calendar(snapshots: DataFrame, spans: Sequence[Span]) -> Calendar:
@@ -77,7 +78,8 @@ def build_calendar(snapshots: DataFrame, spans: Sequence[Span]) -> Calendar:
     return Calendar(
         piece_df,
         cover_df.withColumn("snapshot_date", F.timestamp_micros("snapshot_us")),
-        tuple(spans),
+        cuts[0] if cuts else 0,
+        cuts[-1] if cuts else 0,
     )
 
 
@@ -89,7 +91,12 @@ def into_panes(
     by_day: bool = False,
 ) -> DataFrame:
     """Aggregate lines to (keys, pane), or (keys, day, pane); lines in no window drop out."""
-    timed = lines.withColumn("__us", micros("InvoiceDate")).withColumn(
+    # The outer bounds are literals, so they reach the scan as pushed filters.
+    needed = lines.where(
+        (F.col("InvoiceDate") >= F.timestamp_micros(F.lit(calendar.first_us)))
+        & (F.col("InvoiceDate") < F.timestamp_micros(F.lit(calendar.last_us)))
+    )
+    timed = needed.withColumn("__us", micros("InvoiceDate")).withColumn(
         "day_no", F.floor(F.col("__us") / F.lit(DAY_MICROS))
     )
     placed = timed.join(F.broadcast(calendar.pieces), "day_no").where(

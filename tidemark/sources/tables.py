@@ -12,7 +12,9 @@ def load_table(spark: SparkSession, path: str, kind: str = "parquet") -> DataFra
         return spark.read.parquet(path)
     if kind == "csv":
         return spark.read.option("header", True).option("escape", '"').csv(path)
-    if kind == "json":
+    if kind == "json":  # one record per line, as written by save_table
+        return spark.read.json(path)
+    if kind == "json_document":  # one document per file
         return spark.read.option("multiLine", True).json(path)
     raise ValueError(f"unknown table format: {kind}")
 
@@ -36,24 +38,20 @@ def save_features(features: DataFrame, path: str) -> None:
     Rows are spread by snapshot and customer hash, so that one large snapshot
     becomes several files written by several tasks.
     """
-    day = F.date_format("snapshot_date", "yyyy-MM-dd")
+    slot = F.abs(F.xxhash64("customer_id") % 16)
     (
-        features.withColumn("snapshot_day", day)
-        .repartition("snapshot_day", (F.abs(F.xxhash64("customer_id")) % 16).alias("slot"))
+        features.repartition("snapshot_date", slot)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("snapshot_day")
+        .partitionBy("snapshot_date")
         .parquet(path)
     )
 
 
-def load_features(spark: SparkSession, path: str, snapshot_day: str | None = None) -> DataFrame:
-    """Feature store scan; a ``snapshot_day`` (yyyy-MM-dd) reads only its folder."""
-    store = spark.read.option("basePath", path).parquet(path)
-    if snapshot_day is not None:
-        store = store.where(F.col("snapshot_day") == F.lit(snapshot_day).cast("date"))
-    return store.drop("snapshot_day")
+def load_features(spark: SparkSession, path: str) -> DataFrame:
+    """Feature store scan; filters on ``snapshot_date`` select folders."""
+    return spark.read.parquet(path)
 
 
 def feature_metadata(features: DataFrame) -> DataFrame:
@@ -96,7 +94,7 @@ def save_campaign_lists(assignments: DataFrame, path: str) -> None:
     )
     order = [F.col("campaign"), F.desc("Expected Value"), F.col("CustomerID")]
     (
-        chosen.repartitionByRange(*order)
+        chosen.repartitionByRange(*order)  # ranges by value split a large campaign
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("header", True)
