@@ -162,8 +162,8 @@ FROM (SELECT customer_id, snapshot_date, date_trunc('month', InvoiceDate) AS mon
 WINDOW w AS (PARTITION BY customer_id, snapshot_date)"""
 CTES["trend"] = """
 SELECT customer_id, snapshot_date, r AS revenue_trend_slope, t AS transaction_trend_slope,
-       CAST(sign(r) AS DOUBLE) AS revenue_trend_direction,
-       CAST(sign(t) AS DOUBLE) AS transaction_trend_direction
+       CAST(sign(round(r, 6)) AS DOUBLE) AS revenue_trend_direction,
+       CAST(sign(round(t, 6)) AS DOUBLE) AS transaction_trend_direction
 FROM (SELECT customer_id, snapshot_date,
              CASE WHEN max(m) < 2 THEN 0.0
                   ELSE sum((i - (m - 1) / 2.0) * rev ORDER BY i) * 12 / (max(m) * (max(m) * max(m) - 1)) END AS r,

@@ -49,10 +49,6 @@ def right_closed_bands(value: Column, bands: list[tuple[float | None, str]], low
     return expr
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 

@@ -2,9 +2,9 @@
 
 The rules run in a fixed order: structure, price and quantity rules, price
 percentile, quantity quartiles, minimum rows per customer, derived columns.
-The two outlier limits are exact scalars taken from a narrow stage table of
-three columns, so the wide rows are read once for the limits and once for the
-result, and are shuffled by customer at most once.
+Rows that pass the first two are a stage table, so the joins or the parsing
+behind the raw rows run once.  The outlier limits are exact scalars found by
+narrow scans of that table, and the rows are shuffled by customer at most once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, percent
+from tidemark.functions.columns import percent
 from tidemark.functions.parsing import invoice_time, number
 from tidemark.functions.quantiles import exact_quantiles
 from tidemark.functions.staging import stage
@@ -111,14 +111,10 @@ def quantity_ok(limits: OutlierLimits) -> Column:
     return (qty < 0) | qty.between(limits.min_quantity, limits.max_quantity)
 
 
-def _profile(valid: DataFrame) -> DataFrame:
-    return stage(valid.select("CustomerID", "UnitPrice", "Quantity"), "profile")
-
-
-def outlier_limits(profile: DataFrame, rules: CleaningRules = CleaningRules()) -> OutlierLimits:
+def outlier_limits(valid: DataFrame, rules: CleaningRules = CleaningRules()) -> OutlierLimits:
     """Price limit first; the quantity limits see only rows under it."""
-    top = price_limit(profile, rules)
-    cheap = profile if top is None else profile.where(F.col("UnitPrice") <= top)
+    top = price_limit(valid, rules)
+    cheap = valid if top is None else valid.where(F.col("UnitPrice") <= top)
     low, high = quantity_limits(cheap, rules)
     return OutlierLimits(top, low, high)
 
@@ -134,9 +130,7 @@ def too_few_rows(lines: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
     )
 
 
-def keep_regular_customers(
-    lines: DataFrame, few: DataFrame
-) -> DataFrame:
+def keep_regular_customers(lines: DataFrame, few: DataFrame) -> DataFrame:
     """Drop the lines of customers in ``few``.
 
     An anti join against the few that go, not a semi join with the many that
@@ -186,27 +180,19 @@ def derive(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cleaning:
-    """A planned cleaning: the flagged rows, the scalar limits and the customers to drop."""
+    """A planned cleaning: all tagged rows, the staged valid ones, the limits."""
 
     tagged: DataFrame
-    profile: DataFrame
+    valid: DataFrame
     limits: OutlierLimits
     rules: CleaningRules
 
     @property
-    def valid(self) -> DataFrame:
-        return self.tagged.where(F.col("reject_reason").isNull() & business_valid(self.rules)).drop(
-            "reject_reason"
-        )
-
-    @property
-    def few(self) -> DataFrame:
-        return too_few_rows(self.profile.where(price_ok(self.limits) & quantity_ok(self.limits)),
-                            self.rules)
+    def inliers(self) -> DataFrame:
+        return self.valid.where(price_ok(self.limits) & quantity_ok(self.limits))
 
     def lines(self) -> DataFrame:
-        kept = self.valid.where(price_ok(self.limits) & quantity_ok(self.limits))
-        return derive(keep_regular_customers(kept, self.few))
+        return derive(keep_regular_customers(self.inliers, too_few_rows(self.inliers, self.rules)))
 
     def statistics(self) -> DataFrame:
         """One row of counters; every count is charged to the rule that removed the row."""
@@ -236,9 +222,8 @@ class Cleaning:
             F.count_if(rule_ok & ~price_ok(lim)).alias("price_outliers_removed"),
             F.count_if(in_price & ~quantity_ok(lim)).alias("quantity_outliers_removed"),
         )
-        counted = self.profile.where(price_ok(lim) & quantity_ok(lim))
         people = (
-            counted.where(c("CustomerID").isNotNull())
+            self.inliers.where(c("CustomerID").isNotNull())
             .groupBy("CustomerID")
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -266,11 +251,11 @@ class Cleaning:
 
 
 def plan_cleaning(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaning:
-    """Find the scalar limits (small jobs); the rows themselves stay lazy."""
+    """Write the valid rows, find the scalar limits; the cleaned rows stay lazy."""
     tagged = with_flags(typed(raw, rules), rules)
-    valid = tagged.where(all_of([F.col("reject_reason").isNull(), business_valid(rules)]))
-    profile = _profile(valid)
-    return Cleaning(tagged, profile, outlier_limits(profile, rules), rules)
+    sound = F.col("reject_reason").isNull() & business_valid(rules)
+    valid = stage(tagged.where(sound).drop("reject_reason"), "valid")
+    return Cleaning(tagged, valid, outlier_limits(valid, rules), rules)
 
 
 def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:

@@ -127,22 +127,63 @@ def _with_previous(daily: DataFrame) -> DataFrame:
     )
 
 
-def _months(rules: FeatureRules) -> int:
-    """Most calendar months that one observation window can touch."""
-    return rules.observation_days // 28 + 2
+def _activity_rows(lines: DataFrame, calendar: Calendar, rules: FeatureRules) -> DataFrame:
+    """Day rows repeated for the snapshots that observe them, with the gap before each."""
+    c = F.col
+    reach = rules.observation_days * DAY_MICROS
+    # A gap counts when both of its ends are in the window.
+    gap = F.when(
+        c("previous_us") >= c("snapshot_us") - reach,
+        whole_days_from_micros(c("previous_us"), c("first_us")),
+    )
+    return (
+        over_snapshots(_with_previous(_daily(lines, calendar)), calendar)
+        .where("in_observation")
+        .withColumn("gap", gap)
+    )
 
 
-def _slope(by_month: Column) -> Column:
-    """Least-squares slope over 0..m-1 of the non-null entries; 0 below two of them.
+def _with_middle_gap(rows: DataFrame) -> DataFrame:
+    """Add ``middle``: what a row's gap adds to the median of its customer's gaps.
 
-    With x = 0..m-1 the sum of squared deviations of x is m(m^2-1)/12.
+    The m gaps between consecutive lines, sorted, are some zeros (lines of one
+    day) and then the positive gaps before the days.  The j-th largest of these
+    stands at index m - j; the median is the mean of the entries at the two
+    middle indexes.  The window holds one row per day of one observation window.
     """
-    active = F.filter(by_month, lambda y: y.isNotNull())
-    m = F.size(active).cast("double")
-    centred = F.aggregate(
-        F.transform(active, lambda y, i: (i - (m - 1) / 2) * y), F.lit(0.0), lambda a, x: a + x
+    c = F.col
+    by_gap = W.partitionBy(*KEYS).orderBy(F.desc_nulls_last("gap"))
+    whole = by_gap.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    placed = rows.withColumns(
+        {"m": F.sum("n").over(whole) - 1, "j": F.row_number().over(by_gap)}
     )
-    return F.when(m >= 2, centred * 12 / (m * (m * m - 1))).otherwise(F.lit(0.0))
+    index = c("m") - c("j")
+    low, high = F.floor((c("m") - 1) / 2), F.ceil((c("m") - 1) / 2)
+    hits = (index == low).cast("int") + (index == high).cast("int")
+    return placed.withColumn("middle", F.when(c("gap") > 0, c("gap") * hits / 2)).drop("m", "j")
+
+
+def _with_month_place(rows: DataFrame) -> DataFrame:
+    """Add ``place``: the row's month among the active months, centred, and their number.
+
+    The least-squares slope over months 0..m-1 is the sum of (i - (m-1)/2) y_i
+    over m(m^2-1)/12, and that sum can be taken row by row.
+    """
+    day = F.date_from_unix_date(F.col("day_no").cast("int"))
+    by_month = W.partitionBy(*KEYS).orderBy("month_no")
+    whole = by_month.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return (
+        rows.withColumn("month_no", F.year(day) * 12 + F.month(day))
+        .withColumn("i", F.dense_rank().over(by_month))
+        .withColumn("months", F.max("i").over(whole))
+        .withColumn("place", F.col("i") - (F.col("months") + 1) / 2)
+        .drop("i", "month_no")
+    )
+
+
+def _slope(centred_sum: Column, months: Column) -> Column:
+    m = months.cast("double")
+    return F.when(m >= 2, centred_sum * 12 / (m * (m * m - 1))).otherwise(F.lit(0.0))
 
 
 def activity_features(
@@ -150,69 +191,38 @@ def activity_features(
 ) -> DataFrame:
     """RFM, window, gap, trend and the simple engagement features."""
     c = F.col
-    reach = rules.observation_days * DAY_MICROS
-    seen = over_snapshots(_with_previous(_daily(lines, calendar)), calendar)
-    # A gap counts when both of its ends are in the window.
-    gap = F.when(
-        c("previous_us") >= c("snapshot_us") - reach,
-        whole_days_from_micros(c("previous_us"), c("first_us")),
-    )
-    snap_month = F.year("snapshot_date") * 12 + F.month("snapshot_date")
-    day = F.date_from_unix_date(c("day_no").cast("int"))
-    seen = seen.withColumns(
-        {
-            "gap": gap,
-            "off": c("mean") - c("anchor"),
-            "age": snap_month - (F.year(day) * 12 + F.month(day)),
-        }
-    )
-    months = range(_months(rules) - 1, -1, -1)  # oldest first
-    sums = (
-        seen.where("in_observation")
-        .groupBy("customer_id", "snapshot_date", "snapshot_us")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("revenue").alias("total"),
-            F.sum(c("n") * c("off")).alias("off1"),
-            F.sum(c("spread") + c("n") * c("off") * c("off")).alias("off2"),
-            F.min("first_us").alias("first_us"),
-            F.max("last_us").alias("last_us"),
-            F.sum("returned").alias("returned"),
-            # Gaps inside a day are 0 whole days.  Positive ones are at least a
-            # day each, so there are at most observation_days of them.
-            F.sort_array(F.collect_list(F.when(c("gap") > 0, c("gap")))).alias("gaps"),
-            F.sum("gap").alias("gap1"),
-            F.sum(c("gap") * c("gap")).alias("gap2"),
-            *[F.sum(F.when(c(f"in_{w}"), c("n"))).alias(f"n_{w}") for w, _ in rules.windows],
-            *[
-                F.sum(F.when(c(f"in_{w}"), c("revenue"))).alias(f"revenue_{w}")
-                for w, _ in rules.windows
-            ],
-            *[F.sum(F.when(c("age") == k, c("revenue"))).alias(f"mr{k}") for k in months],
-            *[F.sum(F.when(c("age") == k, c("n"))).alias(f"mn{k}") for k in months],
-        )
+    rows = _with_month_place(_with_middle_gap(_activity_rows(lines, calendar, rules)))
+    off = c("mean") - c("anchor")
+    sums = rows.groupBy(*KEYS, "snapshot_us").agg(
+        F.sum("n").alias("n"),
+        F.sum("revenue").alias("total"),
+        F.sum(c("n") * off).alias("off1"),
+        F.sum(c("spread") + c("n") * off * off).alias("off2"),
+        F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"),
+        F.sum("returned").alias("returned"),
+        F.sum("gap").alias("gap1"),
+        F.sum(c("gap") * c("gap")).alias("gap2"),
+        F.sum("middle").alias("middle"),
+        F.max("months").alias("months"),
+        F.sum(c("place") * c("revenue")).alias("revenue_moment"),
+        F.sum(c("place") * c("n")).alias("line_moment"),
+        *[F.sum(F.when(c(f"in_{w}"), c("n"))).alias(f"n_{w}") for w, _ in rules.windows],
+        *[
+            F.sum(F.when(c(f"in_{w}"), c("revenue"))).alias(f"revenue_{w}")
+            for w, _ in rules.windows
+        ],
     )
     n = c("n").cast("double")
     variance = (c("off2") - c("off1") * c("off1") / n) / F.nullif(n - 1, F.lit(0.0))
     g = n - 1  # gaps between consecutive lines
     gap_mean = F.coalesce(c("gap1") / F.nullif(g, F.lit(0.0)), F.lit(0.0))
     gap_var = (c("gap2") - c("gap1") * c("gap1") / g) / F.nullif(g - 1, F.lit(0.0))
-    zeros = c("n") - 1 - F.size("gaps")
-
-    def nth_gap(rank: Column) -> Column:
-        return F.when(rank < zeros, F.lit(0)).otherwise(
-            F.try_element_at("gaps", (rank - zeros + 1).cast("int"))
-        )
-
-    low, high = F.floor((g - 1) / 2), F.ceil((g - 1) / 2)
-    median = F.when(g >= 1, (nth_gap(low) + nth_gap(high)) / 2).otherwise(F.lit(0.0))
+    gap_std = F.when(c("n") >= 3, F.sqrt(F.greatest(gap_var, F.lit(0.0)))).otherwise(F.lit(0.0))
     lifetime = whole_days_from_micros(c("first_us"), c("last_us"))
     months_active = F.coalesce(F.nullif(lifetime / F.lit(30.0), F.lit(0.0)), F.lit(1.0))
-    gap_std = F.when(c("n") >= 3, F.sqrt(F.greatest(gap_var, F.lit(0.0)))).otherwise(F.lit(0.0))
-
-    staged = sums.select(
-        "customer_id",
-        "snapshot_date",
+    base = sums.select(
+        *KEYS,
         whole_days_from_micros(c("last_us"), c("snapshot_us")).alias("rfm_recency_days"),
         c("n").alias("rfm_frequency_count"),
         (c("total") / n).alias("rfm_monetary_avg"),
@@ -228,30 +238,30 @@ def activity_features(
                 F.coalesce(c(f"revenue_{w}"), F.lit(0.0)).alias(f"revenue_{w}_{d}d"),
             )
         ],
-        F.coalesce(gap_mean, F.lit(0.0)).alias("interpurchase_time_mean"),
+        gap_mean.alias("interpurchase_time_mean"),
         F.coalesce(gap_std, F.lit(0.0)).alias("interpurchase_time_std"),
-        median.cast("double").alias("interpurchase_time_median"),
+        F.coalesce("middle", F.lit(0.0)).alias("interpurchase_time_median"),
         (n / months_active).alias("purchase_frequency_per_month"),
         (c("returned") / n).alias("return_rate"),
-        _slope(F.array(*[c(f"mr{k}") for k in months])).alias("revenue_trend_slope"),
-        _slope(F.array(*[c(f"mn{k}").cast("double") for k in months])).alias(
-            "transaction_trend_slope"
-        ),
-    )
-    cv = ratio(c("interpurchase_time_std"), c("interpurchase_time_mean"))
-    out = staged.withColumn("interpurchase_time_cv", cv).withColumns(
-        {
-            "engagement_score": c("rfm_frequency_count")
-            * c("rfm_monetary_avg")
-            / (c("rfm_recency_days") + 1),
-            "consistency_score": F.lit(1.0) / (c("interpurchase_time_cv") + 1),
-            "revenue_trend_direction": F.signum("revenue_trend_slope"),
-            "transaction_trend_direction": F.signum("transaction_trend_slope"),
-        }
+        _slope(c("revenue_moment"), c("months")).alias("revenue_trend_slope"),
+        _slope(c("line_moment"), c("months")).alias("transaction_trend_slope"),
     )
     name, days = rules.windows[0]
-    return out.withColumn(
-        "activity_score", c(f"txn_count_{name}_{days}d") / (c("rfm_frequency_count") + 1)
+    cv = ratio(c("interpurchase_time_std"), c("interpurchase_time_mean"))
+    return (
+        base.withColumn("interpurchase_time_cv", cv)
+        .withColumns(
+            {
+                "engagement_score": c("rfm_frequency_count")
+                * c("rfm_monetary_avg")
+                / (c("rfm_recency_days") + 1),
+                "consistency_score": F.lit(1.0) / (c("interpurchase_time_cv") + 1),
+                "activity_score": c(f"txn_count_{name}_{days}d") / (c("rfm_frequency_count") + 1),
+                # Below a millionth per month the trend is flat, not rounding noise.
+                "revenue_trend_direction": F.signum(F.round("revenue_trend_slope", 6)),
+                "transaction_trend_direction": F.signum(F.round("transaction_trend_slope", 6)),
+            }
+        )
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.staging import spread
+
 # Everything is read as text; cleaning parses it and counts what does not parse.
 RAW_CSV_SCHEMA = T.StructType(
     [
@@ -61,8 +63,17 @@ def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-    lines = table("lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"
+    lines = spread(
+        table("lineitem").select(
+            "l_orderkey",
+            "l_partkey",
+            "l_quantity",
+            "l_extendedprice",
+            "l_returnflag",
+            "l_linestatus",
+        ),
+        "l_orderkey",
+        "l_partkey",
     )
     orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table("customer").select("c_custkey", "c_nationkey")
