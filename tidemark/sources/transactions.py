@@ -75,7 +75,7 @@ def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey",
         "l_partkey",
     )
-    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(table("orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
     customers = table("customer").select("c_custkey", "c_nationkey")
     nations = table("nation").select("n_nationkey", "n_name")
     parts = table("part").select("p_partkey", "p_name")
