@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 import sys
 import time
 from pathlib import Path
@@ -68,7 +69,7 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("COMPARE_PARTITIONS", "8"))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import any_of
 
 GRID = 200
-ACCURACY = 10_000
+ACCURACY = 2_000  # rank error a tenth of a grid cell
 MAX_VALUES = 100_000
 
 
