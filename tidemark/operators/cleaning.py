@@ -240,11 +240,10 @@ class Cleaning:
                 ).alias("final_rows"),
             )
         )
-        one = F.lit(1)
+        per_customer = people.select(F.struct(*people.columns).alias("p")).scalar()
         return (
-            scan.withColumn("k", one)
-            .join(people.withColumn("k", one), "k")
-            .drop("k")
+            scan.withColumn("p", per_customer)
+            .select(*scan.columns, "p.*")
             .withColumn("rows_removed", c("initial_rows") - c("final_rows"))
             .withColumn("removal_pct", percent(c("rows_removed"), c("initial_rows")))
         )

@@ -58,24 +58,16 @@ def feature_metadata(features: DataFrame) -> DataFrame:
     """One row: customers, snapshots, feature columns, and when it was made."""
     names = [c for c in features.columns if c != "customer_id"]
     # First distinct ids, then count: no task holds the set of all customers.
-    customers = features.select("customer_id").distinct().agg(
-        F.count(F.lit(1)).alias("n_customers")
-    )
-    snapshots = features.agg(F.sort_array(F.collect_set("snapshot_date")).alias("at")).select(
+    customers = features.select("customer_id").distinct().agg(F.count(F.lit(1)).alias("n"))
+    # One entry per snapshot.
+    snapshots = features.agg(F.sort_array(F.collect_set("snapshot_date")).alias("at"))
+    return snapshots.select(
+        customers.scalar().alias("n_customers"),
         F.size("at").cast("long").alias("n_snapshots"),
+        F.lit(len(names)).alias("n_features"),
+        F.array(*[F.lit(n) for n in names]).alias("feature_names"),
         F.transform("at", lambda t: F.date_format(t, "yyyy-MM-dd")).alias("snapshot_dates"),
-    )
-    return (
-        customers.withColumn("k", F.lit(1))
-        .join(snapshots.withColumn("k", F.lit(1)), "k")
-        .select(
-            "n_customers",
-            "n_snapshots",
-            F.lit(len(names)).alias("n_features"),
-            F.array(*[F.lit(n) for n in names]).alias("feature_names"),
-            "snapshot_dates",
-            F.current_timestamp().alias("created_at"),
-        )
+        F.current_timestamp().alias("created_at"),
     )
 
 
