@@ -266,7 +266,7 @@ def keep(df: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFr
 
     Verdicts are found by row, not by key, so repeated and null keys do no harm.
     """
-    # The text stays beside its statistics: joining it back would shuffle it.
-    judged = judge(df.withColumn("__text", F.col(f"`{text}`")), text, limits)
-    kept = judged.where("kept").withColumn(text, F.col("__text"))
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
+    # The row stays beside its statistics: joining it back would shuffle all texts.
+    own = {c: F.col(f"`{c}`") for c in (text, "lang", "source")}
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *[c.alias(n) for n, c in own.items()])
+    return judge(rows, text, limits).where("kept").select("__row.*")

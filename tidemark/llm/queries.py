@@ -12,7 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality_rules
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    license_scan,
+    quality_rules,
+    rule_ensemble,
+    secret_scan,
+    simhash,
+    transcripts,
+    url_filter,
+)
 from tidemark.llm.text import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +51,42 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(ids, RANKS, public_tokenizers.PATTERN))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    share = F.round(F.col("n_shared") / F.col("n_shingles"), 6).alias("containment")
+    return found.select("doc_id", "item_id", "n_shared", "n_shingles", share)
+
+
+# The rules of the contract.
+URL_RULES = (
+    url_filter.Rule("org", "", "allow"),
+    url_filter.Rule("example.org", "es/", "block"),
+    url_filter.Rule("example.org", "en/1", "block"),
+    url_filter.Rule("com", "fr/", "allow"),
+    url_filter.Rule("com", "de/", "block"),
+)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that no rule fits are blocked on hosts with a tenth or more of titles of symbol junk."""
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.judge(pages.select("page_id", "url"), URL_RULES, url_filter.spam_hosts(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = [f.name for f in license_scan.RESULTS if f.name != "spans"]
+    return license_scan.scan(docs).select("doc_id", *names)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return quality_rules.judge(docs).select(
@@ -48,9 +94,52 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """``conversations`` as transcripts: seven rows in ten begin with a marker, in two styles."""
+    style = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10))
+    plain = F.concat(F.initcap("role"), F.lit(": "))
+    other = {"user": "### Human: ", "assistant": "### AI: ", "system": "[Instructions]: "}
+    marked = F.lit("")
+    for role, marker in other.items():
+        marked = F.when(F.col("role") == role, F.lit(marker)).otherwise(marked)
+    marker = F.when(style < 5, plain).when(style < 7, marked).otherwise("")
+    text = F.concat(F.coalesce(marker, F.lit("")), F.coalesce("text", F.lit("")))
+    return conversations.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learned from four fifths of the conversations and recovered for all of them."""
+    ship(spark)
+    raw = raw_transcripts(table(spark, sf_dir, "conversations"))
+    held = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = transcripts.train(transcripts.lines(raw.where(~held), role="role"))
+    found = transcripts.turns(transcripts.decode(transcripts.lines(raw), model))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs).select("doc_id", "at", "value", "score", "secret")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rule_ensemble.classify(docs, table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
-    "op1_byte_bpe": op1_byte_bpe,
-    "op7_quality_rules": op7_quality_rules,
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_decontamination,
+        op3_url_filter,
+        op5_license_scan,
+        op6_simhash,
+        op7_quality_rules,
+        op8_chat_format,
+        op9_secret_scan,
+        op10_quality_classifier,
+    )
 }
 
 SQL: dict[str, str] = {}
