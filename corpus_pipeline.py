@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
-from tidemark.llm import bpe, quality_rules
+from tidemark.llm import bpe, decontaminate, quality_rules, secret_scan, simhash
 from tidemark.llm.queries import RANKS, ship
 from tidemark.llm.text import table
 
@@ -21,6 +21,22 @@ def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate component."""
+    ship(spark)
+    return simhash.first_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked."""
+    return secret_scan.redact(docs)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, proved by decoding them."""
     ship(spark)
@@ -32,6 +48,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", drop_bad),
+    ("simhash", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secret_scan", mask_secrets),
     ("byte_bpe", tokenize),
 ]
 
