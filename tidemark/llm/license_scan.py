@@ -89,14 +89,16 @@ class Automaton:
         for _, sequence in self.templates:
             for t in sequence:
                 self.id_of.setdefault(t, len(self.id_of) + 1)
+        self.sequences = [[self.id_of[t] for t in sequence] for _, sequence in self.templates]
+        self.shortest = min([LONG, *map(len, self.sequences)])
         self.go: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         # Template and place of its last token, for one run that ends in each state.
         self.ends: list[list[tuple[int, int]]] = [[]]
-        for k, (_, sequence) in enumerate(self.templates):
+        for k, sequence in enumerate(self.sequences):
             last = 0
             for place, t in enumerate(sequence):
-                last = self._extend(last, self.id_of[t])
+                last = self._extend(last, t)
                 self.ends[last].append((k, place))
         # What ends in a state also ends in the states its link leads to.
         for s in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
@@ -155,19 +157,30 @@ class Automaton:
             return len(found), [], []
         base: list[tuple[int, int, int]] = []
         pieces: dict[int, list[tuple[int, int, int]]] = {}
-        for stretch in np.split(known, np.flatnonzero(np.diff(known) > 1) + 1):
-            begin, values = int(stretch[0]), ids[stretch].tolist()
-            stats = self.statistics(values)
-            for i, (state, length) in enumerate(stats):
-                grows = i + 1 < len(stats) and stats[i + 1][1] == length + 1
-                for k, place in self.ends[state]:
-                    size = len(self.templates[k][1])
-                    if k < self.n_base and place == size - 1 and length >= size:
-                        base.append((k, begin + i - size + 1, begin + i))
-                    run = min(length, place + 1)
-                    # Only where the run ends or the template does.
-                    if (not grows or place == size - 1) and (run >= LONG or run == size):
-                        pieces.setdefault(k, []).append((begin + i - run + 1, begin + i, place - run + 1))
+        cuts = np.flatnonzero(np.diff(known) > 1) + 1
+        begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(known)]])
+        worth = ends - begins >= self.shortest
+        for lo, hi in zip(begins[worth].tolist(), ends[worth].tolist()):
+            begin, values = int(known[lo]), ids[known[lo:hi]].tolist()
+            for i, (state, length) in enumerate(self.statistics(values)):
+                follows = values[i + 1] if i + 1 < len(values) else 0
+                seen: set[tuple[int, int]] = set()
+                # The longest run, then its shorter ends that stand in more templates.
+                while length >= self.shortest:
+                    for k, place in self.ends[state]:
+                        if (k, place) in seen:
+                            continue
+                        seen.add((k, place))
+                        sequence = self.sequences[k]
+                        size, run = len(sequence), min(length, place + 1)
+                        if k < self.n_base and run == size:
+                            base.append((k, begin + i - size + 1, begin + i))
+                        # Only where a run ends.
+                        grows = place + 1 < size and sequence[place + 1] == follows
+                        if not grows and (run >= LONG or run == size):
+                            pieces.setdefault(k, []).append((begin + i - run + 1, begin + i, place - run + 1))
+                    state = self.link[state]
+                    length = self.length[state]
         return len(found), base, self._chains(pieces)
 
     def _chains(self, pieces: dict[int, list[tuple[int, int, int]]]) -> list[Span]:

@@ -20,6 +20,7 @@ from tidemark.llm import (
     rule_ensemble,
     secret_scan,
     simhash,
+    suffix_dedup,
     transcripts,
     url_filter,
 )
@@ -75,6 +76,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,6 +139,7 @@ QUERIES = {
         op1_byte_bpe,
         op2_decontamination,
         op3_url_filter,
+        op4_suffix_dedup,
         op5_license_scan,
         op6_simhash,
         op7_quality_rules,
