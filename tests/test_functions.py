@@ -30,6 +30,25 @@ def test_quantiles_equal_linear_interpolation(spark, kind, monkeypatch):
     assert got == pytest.approx(list(np.quantile(values, FRACTIONS)), abs=1e-9)
 
 
+@pytest.mark.parametrize("hot", [0.996, 0.5])
+def test_hot_value_leaves_few_values_to_pick_from(spark, monkeypatch, hot):
+    monkeypatch.setattr(quantiles, "MAX_VALUES", 100)
+    given = []
+    pick = quantiles._pick
+    monkeypatch.setattr(quantiles, "_pick", lambda v, s: given.append((v, s)) or pick(v, s))
+    rng = random.Random(2)
+    values = [rng.uniform(1, 9) for _ in range(800)]
+    values += [0.0] * int(800 / (1 - hot) * hot)
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    fractions = [0.01, 0.5, 0.9, 0.995, 0.998, 0.9999]
+    got = exact_quantiles(df, F.col("v"), fractions)
+    assert got == pytest.approx(list(np.quantile(values, fractions)), abs=1e-9)
+    for frame, searches in given:
+        for s in searches:
+            if s.value is None:
+                assert frame.where(s.holds()).distinct().count() <= 100
+
+
 def test_quantiles_of_nothing_and_of_one(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, F.col("v"), [0.5, 0.9]) == [None, None]
