@@ -17,6 +17,40 @@ def test_csv_encodings(spark, tmp_path, encoding):
     assert row["Description"] == 'CAFÉ, "big"' and row["CustomerID"] == "17850"
 
 
+def test_folder_of_both_encodings(spark, tmp_path):
+    for name, encoding in (("a", "utf-8"), ("b", "iso-8859-1"), ("c", "utf-8-sig")):
+        text = HEADER + f"{name},A,café \ufffd,6,12/1/2010 8:26,2.55,17850,France\n"
+        raw = text.replace(" \ufffd", "") if name == "b" else text
+        (tmp_path / f"{name}.csv").write_bytes(raw.encode(encoding))
+    read = lambda name: transactions.read_transactions_csv(spark, str(tmp_path / name))
+    got = {n: read(f"{n}.csv").first()["Description"] for n in "abc"}
+    assert got == {"a": "café \ufffd", "b": "café", "c": "café \ufffd"}
+    assert read("c.csv").columns[0] == "InvoiceNo"
+    both = read("[ab].csv").collect()
+    assert {r["Description"] for r in both} == {"café \ufffd", "café"}
+
+
+def test_boosting_stops_after_patience():
+    losses = [1.0 / (i + 1) for i in range(30)] + [0.5] * 80
+    assert prediction.best_round(losses, 50) == (30, True)
+    assert prediction.best_round(losses[:60], 50) == (30, False)
+    assert prediction.best_round([2.0, 1.0], 50) == (2, False)
+
+
+def test_boosting_keeps_as_many_rounds_as_help(spark):
+    noise = F.rand(5)
+    rows = spark.range(3000).select(
+        F.col("id").alias("customer_id"),
+        F.lit("x").alias("snapshot_date"),
+        (F.rand(1) * 100).alias("a"),
+        (F.rand(2) * 100).alias("b"),
+        F.when(F.col("id") % 3 == 0, "val").otherwise("train").alias("split"),
+    ).withColumn("clv_target", F.col("a") * F.col("b") / 10 + noise)
+    rules = prediction.TreeRules(rounds=60, patience=5, step=0.1, depth=3)
+    model = prediction.train_value(rows, rules)
+    assert model.model.stages[-1].getNumTrees > 20
+
+
 @pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
 def test_tables_round_trip(spark, tmp_path, kind):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "k int, v string")
@@ -79,7 +113,7 @@ def labelled(spark):
     return features, churn, value
 
 
-RULES = prediction.TreeRules(rounds=8, step=0.3, depth=3, forest_trees=4)
+RULES = prediction.TreeRules(rounds=8, step=0.3, depth=3, forest_trees=8)
 
 
 def test_churn_model_learns_and_reloads(spark, labelled, tmp_path):

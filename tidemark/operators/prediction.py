@@ -40,14 +40,14 @@ NOT_FEATURES = (
 
 @dataclass(frozen=True)
 class TreeRules:
-    rounds: int = 60
+    rounds: int = 1000  # at most; validation rows decide
+    patience: int = 50  # rounds without a better validation loss
     step: float = 0.05
     depth: int = 5  # 32 leaves
     row_share: float = 0.8
     column_share: str = "0.8"
     min_rows: int = 20
-    least_gain: float = 0.0005  # relative gain on validation rows below which rounds stop
-    forest_trees: int = 20
+    forest_trees: int = 100
     seed: int = 42
 
 
@@ -74,28 +74,52 @@ def _inputs(columns: list[str]) -> list:
     ]
 
 
-def _fit(rows: DataFrame, columns: list[str], learner) -> PipelineModel:
-    """Input medians from train only; the learner sees train and validation rows."""
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(round of the least loss before patience ran out, whether it did run out), from 1."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _fit(rows: DataFrame, columns: list[str], learner, rules: TreeRules) -> PipelineModel:
+    """Boosting on train rows, cut at the round of the least validation loss.
+
+    Twice as many rounds are grown until the best one is ``patience`` rounds
+    back, or ``rounds`` is reached; then the ensemble is grown to the best
+    round.  Rounds depend on the seed and their number alone, so that every
+    growth begins with the same trees.
+    """
     train = rows.where(F.col("split") == "train")
     prepared = Pipeline(stages=_inputs(columns)).fit(train)
-    usable = rows.where(F.col("split").isin("train", "val")).withColumn(
-        "is_val", F.col("split") == "val"
-    )
-    model = learner.fit(prepared.transform(usable))
+    seen = prepared.transform(train)
+    held = prepared.transform(rows.where(F.col("split") == "val"))
+    loss = [] if isinstance(learner, GBTClassifier) else ["squared"]
+    grown = min(rules.rounds, rules.patience + 10)
+    while True:
+        model = learner.copy({learner.maxIter: grown}).fit(seen)
+        if held.isEmpty():
+            break
+        best, over = best_round(model.evaluateEachIteration(held, *loss), rules.patience)
+        if over or grown >= rules.rounds:
+            if best < grown:
+                model = learner.copy({learner.maxIter: best}).fit(seen)
+            break
+        grown = min(rules.rounds, 2 * grown)
     return PipelineModel(stages=[*prepared.stages, model])
 
 
 def _boosting(rules: TreeRules) -> dict:
     return dict(
         featuresCol="inputs",
-        maxIter=rules.rounds,
         stepSize=rules.step,
         maxDepth=rules.depth,
         subsamplingRate=rules.row_share,
         featureSubsetStrategy=rules.column_share,
         minInstancesPerNode=rules.min_rows,
-        validationIndicatorCol="is_val",
-        validationTol=rules.least_gain,
         seed=rules.seed,
     )
 
@@ -152,7 +176,7 @@ def train_churn(
     weights = class_weights(rows.where(F.col("split") == "train"), balance=balance)
     weighted = rows.join(F.broadcast(weights), "churn_label")
     learner = GBTClassifier(labelCol="churn_label", weightCol="weight", **_boosting(rules))
-    model = _fit(weighted, columns, learner)
+    model = _fit(weighted, columns, learner, rules)
     draft = ChurnModel(model, tuple(columns), 0.5, weights)
     validated = draft.score(rows.where(F.col("split") == "val")).select(
         "churn_label", "churn_probability"
@@ -251,7 +275,7 @@ def train_value(
     columns = model_columns(rows)
     y = to_log(F.col("clv_target")) if log_transform else F.col("clv_target")
     learner = GBTRegressor(labelCol="y", **_boosting(rules))
-    model = _fit(rows.withColumn("y", y), columns, learner)
+    model = _fit(rows.withColumn("y", y), columns, learner, rules)
     return ValueModel(model, tuple(columns), log_transform)
 
 
