@@ -120,3 +120,12 @@ def test_choice_of_k():
     # Seven clusters are too many: the elbow of the inertia curve instead.
     inertia = {3: 100.0, 4: 60.0, 5: 50.0, 6: 45.0, 7: 42.0, 8: 40.0}
     assert choose_k(inertia, {3: 0.1, 4: 0.2, 5: 0.2, 6: 0.2, 7: 0.9, 8: 0.3}) == 4
+
+
+def test_auc_of_billions_of_rows(spark):
+    from tidemark.operators.evaluation import auc_of_counts
+
+    n = 4_000_000_000
+    df = spark.sql(f"select {n}L p, {n}L n, {float(n) * n * 0.75}D w")
+    got = df.select(auc_of_counts(F.col("w"), F.col("p"), F.col("n"))).first()[0]
+    assert got == pytest.approx(0.75)

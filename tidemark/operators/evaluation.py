@@ -190,14 +190,19 @@ def roc_auc(
     return run.agg(
         F.sum("p").alias("positives"),
         F.sum("n").alias("negatives"),
-        F.sum(F.col("p") * (below + F.col("n") / 2)).alias("wins"),
+        F.sum(F.col("p").cast("double") * (below + F.col("n") / 2)).alias("wins"),
     ).select(
         "positives",
         "negatives",
-        ratio(F.col("wins"), F.col("positives") * F.col("negatives"), None).alias("roc_auc"),
+        auc_of_counts(F.col("wins"), F.col("positives"), F.col("negatives")).alias("roc_auc"),
     )
 
 
+def auc_of_counts(wins: Column, positives: Column, negatives: Column) -> Column:
+    """Share of won pairs; as doubles, since the number of pairs can exceed 64 bits."""
+    return ratio(wins, positives.cast("double") * negatives.cast("double"), None)
+
+
 def binary_metrics(
     scored: DataFrame,
     threshold: float = 0.5,

@@ -186,6 +186,14 @@ def _slope(centred_sum: Column, months: Column) -> Column:
     return F.when(m >= 2, centred_sum * 12 / (m * (m * m - 1))).otherwise(F.lit(0.0))
 
 
+#: Slopes nearer to zero than this are no trend: sums of cents leave rounding noise of that size.
+FLAT_BELOW = 5e-7
+
+
+def _direction(slope: Column) -> Column:
+    return F.when(F.abs(slope) < FLAT_BELOW, F.lit(0.0)).otherwise(F.signum(slope))
+
+
 def activity_features(
     lines: DataFrame, calendar: Calendar, rules: FeatureRules = FeatureRules()
 ) -> DataFrame:
@@ -257,9 +265,8 @@ def activity_features(
                 / (c("rfm_recency_days") + 1),
                 "consistency_score": F.lit(1.0) / (c("interpurchase_time_cv") + 1),
                 "activity_score": c(f"txn_count_{name}_{days}d") / (c("rfm_frequency_count") + 1),
-                # Below a millionth per month the trend is flat, not rounding noise.
-                "revenue_trend_direction": F.signum(F.round("revenue_trend_slope", 6)),
-                "transaction_trend_direction": F.signum(F.round("transaction_trend_slope", 6)),
+                "revenue_trend_direction": _direction(c("revenue_trend_slope")),
+                "transaction_trend_direction": _direction(c("transaction_trend_slope")),
             }
         )
     )
