@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -58,6 +59,9 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))  # one machine
+        # Small tables: joins are shuffled, so that all cores work on them.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

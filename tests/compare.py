@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -72,6 +73,9 @@ def main(folder: str, names: list[str]) -> int:
         .config("spark.sql.shuffle.partitions", os.environ.get("COMPARE_PARTITIONS", "8"))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))  # one machine
+        # Small tables: joins are shuffled, so that all cores work on them.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

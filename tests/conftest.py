@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))  # one machine
+        # Small tables: joins are shuffled, so that all cores work on them.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

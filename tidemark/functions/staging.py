@@ -31,16 +31,6 @@ def work_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """A scan of fewer splits than cores is dealt out by ``keys``; a larger one stays as it is.
-
-    The number of splits is known from planning the scan, no data is read for it.
-    The keys should be many and even, such as order numbers.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the work folder and return a scan of it."""
     spark = df.sparkSession

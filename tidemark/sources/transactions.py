@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.staging import spread
-
 # Everything is read as text; cleaning parses it and counts what does not parse.
 RAW_CSV_SCHEMA = T.StructType(
     [
@@ -27,30 +25,33 @@ RAW_CSV_SCHEMA = T.StructType(
 
 
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan; UTF-8 first, ISO-8859-1 when the bytes are not valid UTF-8.
+    """CSV scan of files in UTF-8 or ISO-8859-1, also of both in one folder.
 
-    Spark decodes bad bytes to U+FFFD instead of failing, so one scan looks
-    for that character in the two free-text columns' lines.
+    Every byte is a character of ISO-8859-1, so that reading loses nothing; a
+    value whose bytes are valid UTF-8 is then decoded as such.  This is lazy
+    and per value: no scan happens here, and a file in one encoding never
+    changes how another one is read.
     """
+    # Columns are matched by header name, so extra or reordered columns are fine.
+    raw = (
+        spark.read.option("header", True)
+        .option("encoding", "ISO-8859-1")
+        .option("escape", '"')
+        .option("inferSchema", False)
+        .csv(path)
+    )
 
-    def scan(encoding: str) -> DataFrame:
-        # Columns are matched by header name, so extra or reordered columns are fine.
-        return (
-            spark.read.option("header", True)
-            .option("encoding", encoding)
-            .option("escape", '"')
-            .option("inferSchema", False)
-            .csv(path)
-        )
+    def decoded(name: str) -> Column:
+        value = F.encode(F.col(f"`{name}`"), "ISO-8859-1")
+        return F.when(F.is_valid_utf8(value), F.decode(value, "UTF-8")).otherwise(F.col(f"`{name}`"))
+
+    def plain(name: str) -> str:
+        try:
+            return name.encode("iso-8859-1").decode("utf-8").removeprefix("\ufeff")
+        except UnicodeError:
+            return name
 
-    utf8 = scan("UTF-8")
-    damaged = None
-    for c in utf8.columns:
-        hit = F.col(f"`{c}`").contains("�")
-        damaged = hit if damaged is None else damaged | hit
-    if damaged is not None and not utf8.where(damaged).isEmpty():
-        return scan("ISO-8859-1")
-    return utf8
+    return raw.select(*[decoded(c).alias(plain(c)) for c in raw.columns])
 
 
 def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,19 +64,10 @@ def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-    lines = spread(
-        table("lineitem").select(
-            "l_orderkey",
-            "l_partkey",
-            "l_quantity",
-            "l_extendedprice",
-            "l_returnflag",
-            "l_linestatus",
-        ),
-        "l_orderkey",
-        "l_partkey",
+    lines = table("lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"
     )
-    orders = spread(table("orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table("customer").select("c_custkey", "c_nationkey")
     nations = table("nation").select("n_nationkey", "n_name")
     parts = table("part").select("p_partkey", "p_name")
