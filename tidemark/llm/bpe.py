@@ -163,11 +163,11 @@ class Codec:
             return begins[:0], begins[:0]
         return character[begins], character[ends - 1] + 1
 
-    def decode(self, ids) -> bytes:
-        out = [self.bytes_of[i] for i in ids]
-        if None in out:
-            raise ValueError("an id is not in the vocabulary")
-        return b"".join(out)
+    def decode(self, ids: list[int]) -> bytes:
+        try:
+            return b"".join(map(self.bytes_of.__getitem__, ids))
+        except (IndexError, TypeError) as e:
+            raise ValueError("an id is not in the vocabulary") from e
 
 
 @functools.cache
@@ -245,11 +245,16 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
     kept = [f.name for f in schema.fields if f.name != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
         c = codec(path, pattern)
         for whole in batches:
             column = whole.column(whole.schema.get_field_index(ids))
             for lo, hi in _slices(_sizes(column, 4)):
-                lists = column.slice(lo, hi - lo).to_pylist()
+                some = column.slice(lo, hi - lo)
+                if (pc.min(some.flatten()).as_py() or 0) < 0:
+                    raise ValueError("an id is not in the vocabulary")
+                lists = some.to_pylist()
                 out = [whole.column(n).slice(lo, hi - lo) for n in kept]
                 out.append(pa.array([c.decode(x or []) for x in lists], pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
