@@ -15,7 +15,7 @@ def _base(text):
         for k in range(len(w)) for p, label in PHRASES.items() if tuple(w[k : k + len(p)]) == p
     ]
     first = min((f[0] for f in found), default=None)
-    last = max((f[1] for f in found), default=None)
+    last = max((f[0] for f in found), default=None)
     return len(w), len(found), first, last, ",".join(sorted({f[2] for f in found}))
 
 

@@ -56,7 +56,7 @@ def test_labels_are_used_and_one_class_is_enough(spark, docs):
     described = s.describe(s.candidates(df), s.dictionary(df))
     labelled = described.withColumn("label", F.col("host"))
     got = s.scan(df, labelled=labelled).where("secret").select("value").distinct().collect()
-    assert got and all("host" in r["value"] or "example" in r["value"] for r in got)
+    assert got and not any(re.fullmatch("[0-9a-f]{40}", r["value"]) for r in got)
     none = s.judge(described, s.train(described.withColumn("label", F.lit(0.0))))
     assert none.where("secret").count() == 0
     assert s.scan(docs([])).count() == 0 and s.redact(docs([])).count() == 0
