@@ -225,6 +225,42 @@ FROM (SELECT *, rfm_recency_days / 180.0 AS churn_probability,
       FROM rfm_latest)"""
 
 
+_RFM = ("rfm_recency_days", "rfm_frequency_count", "rfm_monetary_avg")
+CTES["holes"] = """
+SELECT customer_id, CASE WHEN customer_id % 7 <> 0 THEN rfm_monetary_avg END AS m FROM scores"""
+CTES["scaled"] = "SELECT customer_id, segment, " + ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in _RFM
+) + " FROM scores"
+CTES["rule_centres"] = (
+    "SELECT segment, " + ", ".join(f"avg({c}) AS {c}" for c in _RFM) + " FROM scaled GROUP BY segment"
+)
+CTES["rule_spread"] = (
+    "SELECT s.segment, avg(sqrt(" + " + ".join(f"pow(s.{c} - k.{c}, 2)" for c in _RFM) + ")) AS spread "
+    "FROM scaled s JOIN rule_centres k ON s.segment = k.segment GROUP BY s.segment"
+)
+CTES["rule_variance"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, var_pop({c}) AS v FROM rule_centres" for c in _RFM
+)
+CENTRES = ((-0.7, 0.9, 0.1), (0.1, -0.2, -0.4), (1.3, -0.6, 0.2), (-0.4, -0.4, 1.1))
+
+
+def _nearest() -> str:
+    away = [
+        "(" + " + ".join(f"pow({c} - ({v}::DOUBLE), 2)" for c, v in zip(_RFM, x)) + ")" for x in CENTRES
+    ]
+    least = f"least({', '.join(away)})"
+    return "CASE " + " ".join(f"WHEN {d} = {least} THEN {i}" for i, d in enumerate(away)) + " END"
+
+
+def time_split(source: str) -> str:
+    """The rows of ``source`` with ``split``: the oldest 72 percent train, to 80 percent val, then test."""
+    return f"""
+SELECT *, CASE WHEN pos <= fit - CAST(trunc(fit * 0.1) AS BIGINT) THEN 'train' WHEN pos <= fit THEN 'val'
+               ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY snapshot_date, customer_id) AS pos,
+             CAST(trunc(count(*) OVER () * (1 - 0.2::DOUBLE)) AS BIGINT) AS fit FROM {source})"""
+
+
 def naming(r: str, f: str, m: str) -> str:
     return f"""CASE WHEN {r} < 30 AND {f} > 10 AND {m} > 100 THEN 'Champions'
      WHEN {f} > 8 AND {m} > 80 THEN 'Loyal Customers'
@@ -437,11 +473,7 @@ LADDER_OUT = (
     f"SELECT {fx('threshold')} AS threshold, tp, fp, fn, tn, "
     f"{fxs('precision', 'recall', 'f1', 'f_beta')} FROM ladder"
 )
-CTES["split_rows"] = """
-SELECT *, CASE WHEN pos <= fit - CAST(trunc(fit * 0.1) AS BIGINT) THEN 'train' WHEN pos <= fit THEN 'val'
-               ELSE 'test' END AS split
-FROM (SELECT *, row_number() OVER (ORDER BY snapshot_date, customer_id) AS pos,
-             CAST(trunc(count(*) OVER () * (1 - 0.2::DOUBLE)) AS BIGINT) AS fit FROM labels)"""
+CTES["split_rows"] = time_split("labels")
 AUC = """(SELECT sum(p * (below + n / 2.0)) / (sum(p) * sum(n)) FROM (
   SELECT p, n, coalesce(sum(n) OVER (ORDER BY churn_probability ROWS BETWEEN UNBOUNDED PRECEDING
                                      AND 1 PRECEDING), 0) AS below
@@ -803,6 +835,50 @@ SELECT snapshot_date, count(*) AS churned_customers, count(*) FILTER (WHERE NOT
     q["clv_targets"] = f"SELECT {KEYS}, {fx('clv_target', 2)} AS clv_target, is_censored FROM targets"
     q["clv_target_stats"] = value_stats("targets", "clv_target", 2)
 
+    q["snapshot_dates_to_the_end"] = """
+SELECT snapshot_date FROM (
+  SELECT CAST(last_day(CAST(m AS DATE)) AS TIMESTAMP) + (f - date_trunc('day', f)) AS snapshot_date, f, last_ts
+  FROM (SELECT f, last_ts, unnest(generate_series(date_trunc('month', f), date_trunc('month', last_ts),
+                                                  INTERVAL 1 MONTH)) AS m FROM bounds))
+WHERE snapshot_date BETWEEN f AND last_ts"""
+    q["snapshot_of_short_range"] = "SELECT last_ts AS snapshot_date FROM bounds"
+    q["rfm_median_fill"] = (
+        f"SELECT customer_id, {fx('coalesce(m, (SELECT quantile_cont(m, 0.5) FROM holes))')} "
+        "AS rfm_monetary_avg FROM holes"
+    )
+    q["rfm_standardised"] = f"SELECT customer_id, {fxs(*_RFM)} FROM scaled"
+    q["nearest_centres"] = f"SELECT customer_id, {_nearest()} AS centre FROM scaled"
+    apart = "sqrt(" + " + ".join(f"pow(ka.{c} - kb.{c}, 2)" for c in _RFM) + ")"
+    q["rule_davies_bouldin"] = f"""
+SELECT CAST(count(*) AS INTEGER) AS groups, {fx('avg(worst)')} AS davies_bouldin FROM (
+  SELECT ka.segment, max((sa.spread + sb.spread) / {apart}) AS worst
+  FROM rule_centres ka JOIN rule_spread sa ON ka.segment = sa.segment
+  JOIN rule_centres kb ON ka.segment <> kb.segment JOIN rule_spread sb ON kb.segment = sb.segment
+  GROUP BY ka.segment)"""
+    q["rule_centre_importance"] = (
+        f"SELECT feature, {fx('v / (SELECT sum(v) FROM rule_variance)')} AS importance FROM rule_variance"
+    )
+    rows = lambda source, target: (
+        f"SELECT {KEYS}, {target}, {_RFM[0]}, {_RFM[1]}, {fx(_RFM[2])} AS {_RFM[2]}, split FROM ("
+        + time_split(f"(SELECT * FROM rfm JOIN {source} USING (customer_id, snapshot_date))")
+        + ")"
+    )
+    q["churn_training_rows"] = rows("(SELECT customer_id, snapshot_date, churn_label FROM labels)", "churn_label")
+    q["clv_training_rows"] = rows(
+        "(SELECT customer_id, snapshot_date, clv_target FROM targets)", f"{fx('clv_target')} AS clv_target"
+    )
+    q["clv_log_round_trip"] = f"""
+SELECT {KEYS}, {fx('y', 3)} AS log_target, {fx('greatest(exp(y) - 1, 0)', 3)} AS back,
+       {fx('greatest(exp(-y) - 1, 0)', 3)} AS clipped
+FROM (SELECT {KEYS}, ln(1 + greatest(actual - 1000, 0)) AS y FROM guesses)"""
+    q["clv_churn_adjusted"] = f"""
+SELECT customer_id, {fx('clv_prediction')} AS clv_prediction, {fx('p')} AS churn_probability,
+       {fx('clv_prediction * (1 - p)')} AS clv_risk_adjusted
+FROM (SELECT customer_id, clv_prediction, CASE WHEN customer_id % 5 <> 0 THEN churn_probability END AS p FROM scores)"""
+    q["chart_sample"] = """
+SELECT customer_id, rfm_recency_days FROM scores
+ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 5000"""
+
     q["temporal_split"] = f"SELECT {KEYS}, split FROM split_rows"
     q["split_class_distribution"] = f"""
 SELECT split, count(*) AS samples, count(*) FILTER (WHERE churn_label = 1) AS churned,

@@ -230,7 +230,10 @@ class Inputs:
     @property
     def segmentation(self):
         return self._once(
-            "segmentation", lambda: clustering.fit_segments(self.latest_features, k=4)
+            "segmentation",
+            lambda: clustering.fit_segments(
+                self.latest_features, rules=clustering.ClusterRules(parallel_fits=8)
+            ),
         )
 
 
@@ -431,9 +434,7 @@ def _bounds(i: Inputs) -> DataFrame:
 
 
 def _k_search(i: Inputs) -> DataFrame:
-    return clustering.fit_segments(
-        i.latest_features, rules=clustering.ClusterRules(restarts=3, parallel_fits=8)
-    ).search
+    return i.segmentation.search
 
 
 def _clusters(i: Inputs) -> DataFrame:
@@ -445,6 +446,32 @@ def _sample(i: Inputs) -> DataFrame:
     return segments.chart_sample(i.scores).select("customer_id", "rfm_recency_days")
 
 
+RFM = ["rfm_recency_days", "rfm_frequency_count", "rfm_monetary_avg"]
+# Centres in standardised units, for assignment without a trained model.
+CENTRES = [(-0.7, 0.9, 0.1), (0.1, -0.2, -0.4), (1.3, -0.6, 0.2), (-0.4, -0.4, 1.1)]
+
+
+def _holes(i: Inputs) -> DataFrame:
+    """Scores with some average values missing."""
+    hole = F.when(F.col("customer_id") % 7 != 0, F.col("rfm_monetary_avg"))
+    return i.scores.select("customer_id", hole.alias("rfm_monetary_avg"))
+
+
+def _scaled(i: Inputs) -> DataFrame:
+    return clustering.standardised(i.scores.select("customer_id", "segment", *RFM), RFM)
+
+
+def _log_trip(i: Inputs) -> DataFrame:
+    y = prediction.to_log(F.col("actual") - 1000)
+    return i.guesses.select(
+        *KEYS, y.alias("log_target"), prediction.from_log(y).alias("back"), prediction.from_log(-y).alias("clipped")
+    )
+
+
+def _training(rows: DataFrame, targets: DataFrame, target: str) -> DataFrame:
+    return tidy(prediction.training_rows(rows.select(*KEYS, *RFM), targets, target).select(*KEYS, target, *RFM, "split"))
+
+
 def _product(i: Inputs) -> DataFrame:
     keys = KEYS
     returned = i.activity.select(*keys, "return_rate")
@@ -554,6 +581,24 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "segment_comparison": lambda i: tidy(segments.comparison_metrics(i.profiles)),
     "revenue_share": lambda i: tidy(segments.revenue_share(i.profiles)),
     "chart_sample": _sample,
+    # parts of the models that need no training
+    "rfm_median_fill": lambda i: tidy(clustering.median_filled(_holes(i), ["rfm_monetary_avg"])),
+    "rfm_standardised": lambda i: tidy(_scaled(i).drop("segment")),
+    "nearest_centres": lambda i: _scaled(i).select(
+        "customer_id", clustering.nearest_centre(RFM, CENTRES).alias("centre")
+    ),
+    "rule_davies_bouldin": lambda i: tidy(clustering.group_separation(_scaled(i), RFM, "segment")),
+    "rule_centre_importance": lambda i: tidy(clustering.group_importance(_scaled(i), RFM, "segment")),
+    "churn_training_rows": lambda i: _training(i.activity, i.labels, "churn_label"),
+    "clv_training_rows": lambda i: _training(i.activity, i.targets, "clv_target"),
+    "clv_log_round_trip": lambda i: tidy(_log_trip(i), 3),
+    "clv_churn_adjusted": lambda i: tidy(
+        prediction.churn_adjusted(i.clv, i.churn.where(F.col("customer_id") % 5 != 0))
+    ),
+    "snapshot_dates_to_the_end": lambda i: snapshots.snapshot_dates(i.lines, prediction_days=0),
+    "snapshot_of_short_range": lambda i: snapshots.snapshot_dates(
+        i.lines, observation_days=36500, short_range="latest"
+    ),
     # campaigns
     "expected_value": lambda i: tidy(campaigns.expected_values(i.scores)),
     "campaign_options": lambda i: tidy(campaigns.campaign_options(i.scores)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -12,9 +13,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.quantiles import exact_quantiles
 from tidemark.operators.segments import name_assignments, segment_profiles
 
 # The features that describe a customer for clustering, in order.
@@ -169,6 +171,77 @@ def fit_segments(
     )
 
 
+def worst_ratio(spread: dict[int, float], centres: dict) -> float | None:
+    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij; None for one cluster."""
+    worst = []
+    for i in spread:
+        ratios = []
+        for j in spread:
+            gap = math.dist(centres[i], centres[j])
+            if i != j and gap > 0:
+                ratios.append((spread[i] + spread[j]) / gap)
+        if ratios:
+            worst.append(max(ratios))
+    return sum(worst) / len(worst) if worst else None
+
+
+# --- the same steps for any grouping ------------------------------------------------------
+
+
+def median_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with nulls of ``columns`` replaced by the exact median of the column."""
+    out = {}
+    for c in columns:
+        (middle,) = exact_quantiles(df, F.col(c).cast("double"), [0.5])
+        out[c] = F.coalesce(F.col(c).cast("double"), F.lit(middle).cast("double"))
+    return df.withColumns(out)
+
+
+def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``columns`` as (x - mean) / population deviation; a constant column is 0."""
+    facts = df.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+    ).first()
+    scaled = {}
+    for c in columns:
+        mean, deviation = facts[f"m_{c}"], facts[f"s_{c}"]
+        scaled[c] = (F.col(c) - F.lit(mean)) / F.lit(deviation) if deviation else F.col(c) * 0.0
+    return df.withColumns(scaled)
+
+
+def nearest_centre(columns: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
+    """Number of the nearest of few fixed centres; the first of equally near ones."""
+    away = [
+        F.struct(sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(columns, x)), F.lit(0.0)).alias("d"), F.lit(i).alias("i"))
+        for i, x in enumerate(centres)
+    ]
+    return F.array_min(F.array(*away))["i"]
+
+
+def group_centres(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    return df.groupBy(by).agg(*[F.avg(c).alias(c) for c in columns])
+
+
+def group_separation(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """Davies-Bouldin index of any grouping of few groups: one row."""
+    centres = group_centres(df, columns, by)
+    named = centres.select(F.col(by).alias("__by"), *[F.col(c).alias(f"__{c}") for c in columns])
+    gap = sum(((F.col(c) - F.col(f"__{c}")) ** 2 for c in columns), F.lit(0.0))
+    spread = df.join(named, F.col(by) == F.col("__by")).groupBy(by).agg(F.avg(F.sqrt(gap)).alias("spread"))
+    at = {r[by]: [r[c] for c in columns] for r in centres.collect()}  # a row for each group
+    value = worst_ratio({r[by]: r["spread"] for r in spread.collect()}, at)
+    return df.sparkSession.createDataFrame([(len(at), value)], "groups int, davies_bouldin double")
+
+
+def group_importance(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """Share of each column in the variance of the group centres."""
+    centres = group_centres(df, columns, by)
+    long = centres.select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("feature", "x"))
+    per = long.groupBy("feature").agg(F.var_pop("x").alias("v"))
+    total = per.agg(F.sum("v").alias("t"))
+    return per.select("feature", (F.col("v") / total.scalar()).alias("importance"))
+
+
 def davies_bouldin(seg: Segmentation, latest: DataFrame) -> DataFrame:
     """Mean over clusters of the worst (spread_i + spread_j) / distance_ij."""
     spark = latest.sparkSession
@@ -186,16 +259,7 @@ def davies_bouldin(seg: Segmentation, latest: DataFrame) -> DataFrame:
     )
     # k rows; pairs of centres are model facts, not data.
     size = {r["segment"]: r["spread"] for r in spread.collect()}
-    worst = []
-    for i in size:
-        worst.append(
-            max(
-                (size[i] + size[j]) / float(((centres[i] - centres[j]) ** 2).sum() ** 0.5)
-                for j in size
-                if j != i
-            )
-        )
-    value = sum(worst) / len(worst)
+    value = worst_ratio(size, dict(enumerate(centres)))
     return spark.createDataFrame(
         [(seg.k, float(seg.inertia), float(seg.silhouette), float(value))],
         "k int, inertia double, silhouette double, davies_bouldin double",

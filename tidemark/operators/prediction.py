@@ -202,6 +202,14 @@ def from_log(value: Column) -> Column:
 BAND = (0.1, 0.5, 0.9)
 
 
+def churn_adjusted(predicted: DataFrame, churn: DataFrame) -> DataFrame:
+    """Predictions times the chance to stay; null without a churn probability."""
+    stay = 1 - F.col("churn_probability")
+    return predicted.join(
+        churn.select("customer_id", "churn_probability"), "customer_id", "left"
+    ).withColumn("clv_risk_adjusted", F.col("clv_prediction") * stay)
+
+
 @dataclass(frozen=True)
 class ValueModel:
     model: PipelineModel
@@ -259,13 +267,7 @@ class ValueModel:
 
     def predict_risk_adjusted(self, features: DataFrame, churn: DataFrame) -> DataFrame:
         """Band and prediction times the chance to stay."""
-        return (
-            self.predict(features, bounds=self.forest is not None)
-            .join(churn.select("customer_id", "churn_probability"), "customer_id", "left")
-            .withColumn(
-                "clv_risk_adjusted", F.col("clv_prediction") * (1 - F.col("churn_probability"))
-            )
-        )
+        return churn_adjusted(self.predict(features, bounds=self.forest is not None), churn)
 
 
 def train_value(

@@ -324,4 +324,5 @@ def revenue_share(profiles: DataFrame, key: str = "segment") -> DataFrame:
 
 def chart_sample(customers: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
     """At most ``n`` customers for a scatter plot: the same ones on every run."""
-    return customers.orderBy(F.xxhash64(F.col("customer_id"), F.lit(seed)), "customer_id").limit(n)
+    mixed = F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return customers.orderBy(mixed, "customer_id").limit(n)
