@@ -127,17 +127,15 @@ def test_churn_model_learns_and_reloads(spark, labelled, tmp_path):
     assert evaluate_binary(test, model.threshold).first()["roc_auc"] > 0.95
     top = prediction.feature_importance(model.model, rows, 1).first()
     assert top["feature"] == "rfm_recency_days"
-    facts = spark.createDataFrame([(model.threshold,)], "threshold double")
-    tables.save_model(model.model, facts, str(tmp_path / "m"))
-    again, stored = tables.load_model(spark, str(tmp_path / "m"))
-    assert stored.first()["threshold"] == model.threshold
+    model.save(str(tmp_path / "m"))
+    again = prediction.ChurnModel.load(spark, str(tmp_path / "m"))
+    assert (again.threshold, again.columns) == (model.threshold, model.columns)
+    assert again.thresholds.count() == model.thresholds.count()
     one = rows.limit(5)
-    a = sorted(r["churn_probability"] for r in model.predict(one).collect())
-    b = sorted(float(r["probability"][1]) for r in again.transform(one).collect())
-    assert a == pytest.approx(b)
+    assert sorted(map(tuple, again.predict(one).collect())) == sorted(map(tuple, model.predict(one).collect()))
 
 
-def test_value_model_and_band(labelled):
+def test_value_model_and_band(spark, labelled, tmp_path):
     features, _, value = labelled
     rows = prediction.training_rows(features, value, "clv_target")
     model = prediction.train_bounds(prediction.train_value(rows, RULES), rows, RULES)
@@ -146,6 +144,26 @@ def test_value_model_and_band(labelled):
         assert 0 <= r["clv_lower_10pct"] <= r["clv_median"] <= r["clv_upper_90pct"]
         assert r["clv_prediction"] == pytest.approx(r["clv_target"], rel=0.6)
     assert prediction.coverage(scored).first()["coverage"] > 0.6
+    model.save(str(tmp_path / "v"))
+    again = prediction.ValueModel.load(spark, str(tmp_path / "v"))
+    test = rows.where("split = 'test'")
+    ordered = lambda m: sorted(map(tuple, m.predict(test, bounds=True).collect()))
+    assert ordered(again) == ordered(model)
+
+
+def test_band_covers_known_noise(spark):
+    """Four fifths of targets lie between the outer quantiles of their known distribution."""
+    rows = spark.range(6000).select(
+        F.col("id").alias("customer_id"),
+        F.lit("x").alias("snapshot_date"),
+        (F.floor(F.rand(1) * 4)).alias("a"),
+        F.when(F.col("id") % 4 == 0, "test").otherwise("train").alias("split"),
+        F.rand(3).alias("u"),
+    ).withColumn("clv_target", F.col("a") * 100 + 50 + F.col("u") * 40).drop("u")
+    rules = prediction.TreeRules(rounds=5, patience=2, depth=3, forest_trees=10)
+    model = prediction.train_bounds(prediction.train_value(rows, rules), rows, rules)
+    scored = model.predict(rows.where("split = 'test'"), bounds=True, keep=("clv_target",))
+    assert 0.75 < prediction.coverage(scored).first()["coverage"] < 0.85
 
 
 def test_segments_of_separate_groups(spark):

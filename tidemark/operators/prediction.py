@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
@@ -20,6 +20,7 @@ from tidemark.operators.evaluation import (
     temporal_split,
     threshold_scores,
 )
+from tidemark.sources.tables import load_model, save_model
 
 KEYS = ["customer_id", "snapshot_date"]
 # Columns that are never model inputs.
@@ -144,6 +145,23 @@ class ChurnModel:
     threshold: float
     thresholds: DataFrame
 
+    def save(self, path: str) -> None:
+        """Pipeline, threshold with all threshold scores, and input columns."""
+        facts = self.thresholds.withColumns(
+            {
+                "model_columns": F.array(*[F.lit(c) for c in self.columns]),
+                "model_threshold": F.lit(float(self.threshold)),
+            }
+        )
+        save_model(self.model, facts, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ChurnModel:
+        model, facts = load_model(spark, path)
+        known = facts.first()
+        scores = facts.drop("model_columns", "model_threshold")
+        return cls(model, tuple(known["model_columns"]), known["model_threshold"], scores)
+
     def score(self, features: DataFrame) -> DataFrame:
         """Features with ``churn_probability``."""
         return _apply(self.model, features, self.columns).withColumn(
@@ -200,6 +218,8 @@ def from_log(value: Column) -> Column:
 
 # Lower bound, median and upper bound of the prediction band.
 BAND = (0.1, 0.5, 0.9)
+# Points that stand for the training targets of a leaf, each for the same share of them.
+LEAF_POINTS = 20
 
 
 def churn_adjusted(predicted: DataFrame, churn: DataFrame) -> DataFrame:
@@ -218,6 +238,22 @@ class ValueModel:
     forest: PipelineModel | None = None
     leaves: DataFrame | None = None
 
+    def save(self, path: str) -> None:
+        """Point model, forest and leaf points, columns and settings."""
+        spark = SparkSession.getActiveSession()
+        facts = [(list(self.columns), self.log_transform, self.forest is not None)]
+        schema = "columns array<string>, log_transform boolean, bounds boolean"
+        save_model(self.model, spark.createDataFrame(facts, schema), path)
+        if self.forest is not None:
+            save_model(self.forest, self.leaves, f"{path}/bounds")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ValueModel:
+        model, facts = load_model(spark, path)
+        known = facts.first()
+        extra = load_model(spark, f"{path}/bounds") if known["bounds"] else (None, None)
+        return cls(model, tuple(known["columns"]), known["log_transform"], *extra)
+
     def _back(self, col: Column) -> Column:
         return from_log(col) if self.log_transform else F.greatest(col, F.lit(0.0))
 
@@ -244,15 +280,16 @@ class ValueModel:
             .withColumn("band", q)
         )
 
-        def mean_over_trees(i: int) -> Column:
-            total = F.aggregate("band", F.lit(0.0), lambda s, b: s + F.get(b, F.lit(i)))
-            return total / F.size("band")
+        pooled = leafed.withColumn("pool", F.sort_array(F.flatten("band")))
+
+        def at(p: float) -> Column:
+            place = F.greatest(F.ceil(F.lit(p) * F.size("pool")), F.lit(1))
+            return self._back(F.element_at("pool", place.cast("int")))
 
-        mean = [mean_over_trees(i) for i in range(len(BAND))]
         return (
-            leafed.withColumn("clv_lower_10pct", self._back(mean[0]))
-            .withColumn("clv_median", self._back(mean[1]))
-            .withColumn("clv_upper_90pct", self._back(mean[2]))
+            pooled.withColumn("clv_lower_10pct", at(BAND[0]))
+            .withColumn("clv_median", at(BAND[1]))
+            .withColumn("clv_upper_90pct", at(BAND[2]))
             .withColumn("clv_uncertainty", F.col("clv_upper_90pct") - F.col("clv_lower_10pct"))
             .select(
                 "customer_id",
@@ -286,8 +323,11 @@ def train_bounds(
 ) -> ValueModel:
     """Quantile regression forest (Meinshausen, 2006) for the band and the median.
 
-    Every leaf keeps quantiles of its training targets from a mergeable sketch,
-    so a leaf with most of the rows costs no more than any other.
+    A row's band comes from the training targets of all leaves it falls in,
+    pooled, with a weight of one over the size of the leaf.  Every leaf keeps
+    LEAF_POINTS equally weighted quantiles of its targets from a mergeable
+    sketch, so a leaf with most of the rows costs no more than any other, and the
+    pool is the points of one leaf per tree.
     """
     y = to_log(F.col("clv_target")) if value.log_transform else F.col("clv_target")
     train = rows.where(F.col("split") == "train").withColumn("y", y)
@@ -311,7 +351,11 @@ def train_bounds(
         forest.transform(train)
         .select("y", F.posexplode(vector_to_array("leaf").cast("array<int>")).alias("tree", "leaf"))
         .groupBy("tree", "leaf")
-        .agg(F.percentile_approx("y", list(BAND), 10_000).alias("q"))
+        .agg(
+            F.percentile_approx(
+                "y", [(i + 0.5) / LEAF_POINTS for i in range(LEAF_POINTS)], 10_000
+            ).alias("q")
+        )
     )
     # trees x leaves rows: bounded by the model, not by the data.
     spots = F.transform(

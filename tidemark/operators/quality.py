@@ -67,11 +67,15 @@ def row_counters(
     raw: DataFrame, rules: QualityRules = QualityRules(), formats: CleaningRules = CleaningRules()
 ) -> DataFrame:
     """One row with every count that a single scan can give."""
+    return raw.agg(*_row_aggregates(rules, formats, raw))
+
+
+def _row_aggregates(rules: QualityRules, formats: CleaningRules, raw: DataFrame) -> list[Column]:
     qty, price = number("Quantity"), number("UnitPrice")
     when = invoice_time(raw, formats.date_formats)
     revenue = qty * price
     in_range = when.between(F.lit(rules.min_date), F.lit(rules.max_date))
-    return raw.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("Quantity").isNotNull() & qty.isNull()).alias("bad_quantity"),
         F.count_if(F.col("UnitPrice").isNotNull() & price.isNull()).alias("bad_price"),
@@ -96,7 +100,7 @@ def row_counters(
         F.count_if(~F.coalesce(in_range, F.lit(False))).alias("date_out_of_range"),
         F.count_if(when.isNull()).alias("null_dates"),
         F.count_if(F.col("CustomerID").isNull()).alias("null_customers"),
-    )
+    ]
 
 
 def duplicate_counters(raw: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -140,29 +144,35 @@ def validation_report(
         return spark.range(1).select(F.inline(F.array(head)))
 
     c = F.col
-    shares = column_completeness(raw)
-    over = c("missing_pct") > rules.max_missing_pct
-    per_column = shares.where(over).select(
-        F.concat(F.lit("Completeness - "), c("column_name")).alias("check"),
-        F.lit("FAIL").alias("status"),
-        F.lit("WARNING").alias("severity"),
-        F.concat(
-            F.format_number("missing_pct", 2),
-            F.lit(f"% missing (threshold: {rules.max_missing_pct}%)"),
-        ).alias("message"),
-        F.create_map(F.lit("missing_pct"), c("missing_pct")).alias("details"),
+    # One scan for all counts by row, null counts of every column included.
+    nulls = {name: f"__null_{i}" for i, name in enumerate(raw.columns)}
+    scan = raw.agg(
+        *_row_aggregates(rules, formats, raw),
+        *[F.count_if(F.col(f"`{name}`").isNull()).alias(n) for name, n in nulls.items()],
     )
-    overall = shares.agg(
-        F.avg("missing_pct").alias("avg_missing"),
-        F.map_from_entries(F.collect_list(F.struct("column_name", "missing_pct"))).alias("m"),
-    ).select(
+    missing = {name: percent(c(n), c("rows")) for name, n in nulls.items()}
+    per_column = [
+        F.when(
+            pct > rules.max_missing_pct,
+            F.struct(
+                F.lit(f"Completeness - {name}").alias("check"),
+                F.lit("FAIL").alias("status"),
+                F.lit("WARNING").alias("severity"),
+                F.concat(
+                    F.format_number(pct, 2), F.lit(f"% missing (threshold: {rules.max_missing_pct}%)")
+                ).alias("message"),
+                F.create_map(F.lit("missing_pct"), pct).alias("details"),
+            ),
+        )
+        for name, pct in missing.items()
+    ]
+    average = sum(missing.values(), F.lit(0.0)) / len(missing)
+    overall = F.struct(
         F.lit("Overall Completeness").alias("check"),
         F.lit("PASS").alias("status"),
         F.lit("INFO").alias("severity"),
-        F.concat(
-            F.lit("Average missing: "), F.format_number("avg_missing", 2), F.lit("%")
-        ).alias("message"),
-        c("m").alias("details"),
+        F.concat(F.lit("Average missing: "), F.format_number(average, 2), F.lit("%")).alias("message"),
+        F.create_map(*[x for name, pct in missing.items() for x in (F.lit(name), pct)]).alias("details"),
     )
 
     info, yes = F.lit("INFO"), F.lit(True)
@@ -189,7 +199,6 @@ def validation_report(
             invalid_count=c(bad),
         )
 
-    scan = row_counters(raw, rules, formats)
     fixed = [
         _result(
             "Schema Validation", yes, info,
@@ -260,7 +269,8 @@ def validation_report(
         ),
     ]
     # Null dates are only reported when there are some.
-    scanned = scan.select(F.inline(F.array(*fixed))).where(
+    by_row = F.filter(F.array(*fixed, overall, *per_column), lambda x: x.isNotNull())
+    scanned = scan.select(F.inline(by_row)).where(
         (F.col("check") != "Date Completeness") | (F.col("status") == "FAIL")
     )
     duplicates = duplicate_counters(raw, rules).select(
@@ -304,7 +314,7 @@ def validation_report(
         )
     )
     out = scanned
-    for part in (per_column, overall, duplicates, customers):
+    for part in (duplicates, customers):
         out = out.unionByName(part)
     return out.select(*REPORT)
 

@@ -124,8 +124,7 @@ def predict_churn(
     ws.write(evaluation.evaluate_binary(test, model.threshold), "churn_metrics", "json")
     ws.write(model.predict(snapshots.at_latest_snapshot(store)), "churn_predictions")
     ws.write(prediction.feature_importance(model.model, rows), "churn_importance", "csv")
-    facts = ws.spark.createDataFrame([(float(model.threshold),)], "threshold double")
-    tables.save_model(model.model, facts, ws.at("models/churn"))
+    model.save(ws.at("models/churn"))
 
 
 def predict_value(
@@ -169,8 +168,7 @@ def predict_value(
         "clv_risk_adjusted",
     )
     ws.write(prediction.feature_importance(model.model, rows), "clv_importance", "csv")
-    facts = ws.spark.createDataFrame([(model.log_transform,)], "log_transform boolean")
-    tables.save_model(model.model, facts, ws.at("models/clv"))
+    model.save(ws.at("models/clv"))
 
 
 def allocate(ws: Workspace, budget: float, min_roi: float = 0.0) -> None:
