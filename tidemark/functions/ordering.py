@@ -48,7 +48,7 @@ def with_running_totals(
     inside = (
         W.partitionBy(*within, "__range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
-    placed = ranged.join(F.broadcast(offsets), [*within, "__range"])
+    placed = ranged.join(_few(offsets, within), [*within, "__range"])
     return placed.select(
         *df.columns,
         *[
@@ -58,8 +58,36 @@ def with_running_totals(
     )
 
 
+def _few(offsets: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Without groups there is a row for each shuffle partition; groups may be many."""
+    return offsets if within else F.broadcast(offsets)
+
+
 def with_position(
     df: DataFrame, order: Sequence[Column], name: str = "position", within: Sequence[str] = ()
 ) -> DataFrame:
-    """Add the 1-based position of every row in the global order."""
-    return with_running_totals(df, order, {name: F.lit(1).cast("long")}, within)
+    """Add the 1-based position of every row in the global order, per group of ``within``.
+
+    One range shuffle: rows are numbered where they lie sorted, and a group's
+    number of rows in earlier ranges is added.
+    """
+    keys = [*[F.col(c) for c in within], *order]
+    ranged = stage(
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("__id", F.monotonically_increasing_id()),
+        "ranged",
+    )
+    # The id is the number of the range, then 33 bits for the row in it.
+    ranged = ranged.withColumns(
+        {"__range": F.shiftright("__id", 33), "__row": F.col("__id").bitwiseAND(F.lit(2**33 - 1))}
+    )
+    blocks = ranged.groupBy(*within, "__range").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first")
+    )
+    earlier = W.partitionBy(*within).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = blocks.select(
+        *within, "__range", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__before")
+    )
+    placed = ranged.join(_few(offsets, within), [*within, "__range"])
+    return placed.select(*df.columns, (F.col("__row") + F.col("__before")).alias(name))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import whole_days
 
 
 def time_bounds(lines: DataFrame) -> DataFrame:
@@ -89,8 +88,12 @@ def temporal_consistency(
     """Recompute count and revenue of every feature row straight from the lines.
 
     Independent of the pane aggregation on purpose: plain window bounds on the
-    lines, one row per snapshot with the number of disagreements.
+    exact purchase times, one row per snapshot with the number of disagreements.
     """
+    # Lines of one customer and instant are one row before windows repeat them.
+    times = lines.groupBy("CustomerID", "InvoiceDate").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Revenue").alias("revenue")
+    )
     snaps = features.select("snapshot_date").distinct()
     reach = _days(observation_days)
     # Bounded by the number of snapshots; each line meets the month-keyed few near it.
@@ -101,15 +104,15 @@ def temporal_consistency(
         F.explode(F.sequence(month - F.lit(span_months), month)).alias("month_no"),
     )
     again = (
-        lines.withColumn("month_no", F.year("InvoiceDate") * 12 + F.month("InvoiceDate"))
+        times.withColumn("month_no", F.year("InvoiceDate") * 12 + F.month("InvoiceDate"))
         .join(F.broadcast(near), "month_no")
         .where(
             F.col("InvoiceDate").between(F.col("snapshot_date") - reach, F.col("snapshot_date"))
         )
         .groupBy(F.col("CustomerID").alias("customer_id"), "snapshot_date")
         .agg(
-            F.count(F.lit(1)).alias("n_again"),
-            F.sum("Revenue").alias("revenue_again"),
+            F.sum("n").alias("n_again"),
+            F.sum("revenue").alias("revenue_again"),
             F.max("InvoiceDate").alias("last_used"),
         )
     )
@@ -126,7 +129,3 @@ def temporal_consistency(
         F.count_if(~F.coalesce(near_enough, F.lit(False))).alias("revenue_mismatches"),
         F.count_if(F.col("last_used") > F.col("snapshot_date")).alias("future_rows"),
     )
-
-
-def elapsed_days(start: str, end: str) -> Column:
-    return whole_days(F.col(start), F.col(end))
