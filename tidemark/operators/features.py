@@ -3,9 +3,12 @@
 Grain and shuffles, for L lines:
 
 * activity (RFM, windows, gaps, engagement, trend): lines -> (customer, day,
-  pane) -> one shuffle by customer -> features; nothing larger than L moves.
-* products: lines -> (customer, product, pane) -> (customer, snapshot).
-* baskets: lines -> (customer, invoice, pane) -> (customer, snapshot).
+  pane) by one shuffle, placed by customer by another -> features; nothing
+  larger than L moves.
+* products: lines -> (customer, product, pane), placed by customer; all
+  snapshots are derived there.
+* baskets: lines -> (customer, invoice, pane), placed by invoice -> partial sums
+  -> (customer, snapshot).
 
 "Transactions" are invoice lines, as in the column definitions.
 """
@@ -276,7 +279,12 @@ def activity_features(
 
 
 def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
-    """Distinct products and 1 - sum of squared line shares (diversity)."""
+    """Distinct products and 1 - sum of squared line shares (diversity).
+
+    After the first aggregation a customer is at most products x panes rows, so
+    these are placed by customer alone: the rows repeated by snapshot are
+    counted per product and then per customer where they are, without a shuffle.
+    """
     panes = into_panes(
         by_customer(lines).select("customer_id", "StockCode", "InvoiceDate"),
         calendar,
@@ -284,7 +292,7 @@ def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
         [F.count(F.lit(1)).alias("n")],
     )
     per_product = (
-        over_snapshots(spread_by(panes, "customer_id", "StockCode"), calendar)
+        over_snapshots(spread_by(panes, "customer_id"), calendar)
         .where("in_observation")
         .groupBy("customer_id", "StockCode", "snapshot_date")
         .agg(F.sum("n").alias("n"))
@@ -297,7 +305,10 @@ def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def basket_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
-    """Mean and sample deviation of the absolute net quantity per invoice."""
+    """Mean and sample deviation of the absolute net quantity per invoice.
+
+    One customer may have most of all invoices; they are placed by invoice.
+    """
     panes = into_panes(
         by_customer(lines).select("customer_id", "InvoiceNo", "InvoiceDate", "Quantity"),
         calendar,
