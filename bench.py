@@ -36,6 +36,9 @@ HEADLINE = (
     "budget_sensitivity",
     "customer_action_list",
     "business_summary",
+    "kmeans_k_search",
+    "churn_gbt_scores",
+    "clv_quantile_bands",
 )
 
 
