@@ -1,6 +1,7 @@
 import re
 
 from tidemark.llm import decontaminate as d
+from tidemark.llm import text
 from tidemark.llm.queries import op2_decontamination
 
 
@@ -53,7 +54,7 @@ def test_against_brute_force(spark, docs, odd):
 
 
 def test_shuffled_when_too_large_to_broadcast(spark, docs, monkeypatch):
-    monkeypatch.setattr(d, "BROADCAST", 0)
+    monkeypatch.setattr(text, "BROADCAST", -1)
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     found = d.leaks(docs([(1, ITEM), (2, "clean")]), bench).collect()
     assert [(r["doc_id"], r["n_shared"], r["n_shingles"]) for r in found] == [(1, 10, 10)]

@@ -33,10 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
-from tidemark.llm.text import whole
+from tidemark.llm.text import checked, whole
 
 WORDS, CONTAINED = 5, 0.8
-BROADCAST = 32 << 20
 
 
 def plain_words(text: Column) -> Column:
@@ -61,12 +60,6 @@ def run_hash(w: Column, at: Column, size: int) -> Column:
     return F.xxhash64(*[F.get(w, at + k) for k in range(size)])
 
 
-def checked(df: DataFrame, size: Column) -> DataFrame:
-    """``df``, with a broadcast hint if its rows have at most BROADCAST bytes in all."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST else df
-
-
 def prepare(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
     """A row for each distinct item with words: its shingles, and how many a leak needs."""
     rows = items.select(F.col(key).alias("item_id"), whole(F.col(text)).alias("__t")).distinct()

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
-from tidemark.llm.text import BLANKS, count_of, whole, without, words
+from tidemark.llm.text import BLANKS, checked, count_of, whole, without, words
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -172,7 +172,9 @@ def _pools(df: DataFrame, least: int) -> DataFrame:
         .when(F.col("__all") >= least, mark(F.col("__lang")))
         .otherwise("")
     )
-    counts = counts.select("__lang", "__source", pool.alias("__pool"))
+    counts = stage(counts.select("__lang", "__source", pool.alias("__pool")), "pools")
+    # A row for each language and source: rows with their texts stay where they are.
+    counts = checked(counts, 2 * F.coalesce(F.length("__pool"), F.lit(0)) + 64)
     same = lang.eqNullSafe(F.col("__lang")) & source.eqNullSafe(F.col("__source"))
     return df.join(counts, same, "left").drop("__lang", "__source")
 
@@ -250,7 +252,8 @@ def judge(df: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataF
         100 * F.col("n_repeat_words") > limits.max_repeat_pct * F.col("n_words")
     )
     cut = chi_square_cut(limits.tail, len(DIMENSIONS))
-    judged = rows.join(estimate, "__pool", "left").withColumns(
+    known = checked(estimate, F.lit(400))
+    judged = rows.join(known, "__pool", "left").withColumns(
         {"base_failed": failed, "distance": distance(DIMENSIONS)}
     )
     added = [c for c in judged.columns if c in DIMENSIONS or c.startswith(("m_", "l_"))]

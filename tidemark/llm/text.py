@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: White space between words: tab, line feed, vertical tab, form feed, return, space.
 BLANKS = "\t\n\x0b\f\r "
+#: Most bytes of a table that is broadcast.
+BROADCAST = 32 << 20
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -14,6 +16,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def checked(df: DataFrame, size: Column) -> DataFrame:
+    """``df``, with a broadcast hint if its rows have at most BROADCAST bytes in all.
+
+    ``df`` is read for that: a stage table, or one as cheap.
+    """
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST else df
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
