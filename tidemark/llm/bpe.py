@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 #: Text bytes that one output batch stands for, about.
 BATCH_BYTES = 4 << 20
 #: Parts that a worker remembers, the longest one at a line start, and how many are encoded at once.
-MEMORY, LONGEST, JOINED = 500_000, 64, 512
+MEMORY, LONGEST, JOINED = 300_000, 64, 512
 #: White space beside a space or a line feed.
 _RUN = re.compile(r"\s[ \n]|[ \n]\s")
 
@@ -204,36 +205,120 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(kind.to_pandas_dtype())))
 
 
-def _with(df: DataFrame, names: list[tuple[str, T.DataType]]) -> T.StructType:
+#: A step on Arrow batches: from the schema of its input to that of its output, and the work.
+Batches = Iterator[pa.RecordBatch]
+Step = Callable[[T.StructType], tuple[T.StructType, Callable[[Batches], Batches]]]
+
+
+def chain(df: DataFrame, *steps: Step) -> DataFrame:
+    """All steps in one Python worker per task, batch by batch."""
+    schema, works = df.schema, []
+    for step in steps:
+        schema, work = step(schema)
+        works.append(work)
+
+    def run(batches: Batches) -> Batches:
+        for work in works:
+            batches = work(batches)
+        return batches
+
+    return df.mapInArrow(run, schema)
+
+
+def _with(schema: T.StructType, names: list[tuple[str, T.DataType]]) -> T.StructType:
     added = {n.lower() for n, _ in names}
-    kept = [f for f in df.schema.fields if f.name.lower() not in added]
+    kept = [f for f in schema.fields if f.name.lower() not in added]
     return T.StructType(kept + [T.StructField(n, t) for n, t in names])
 
 
+def encoding(path: str, pattern: str, text: str = "text", offsets: bool = False) -> Step:
+    def step(given: T.StructType):
+        ints = T.ArrayType(T.IntegerType(), False)
+        schema = _with(given, [("ids", ints)] + [("starts", ints), ("ends", ints)] * offsets)
+        kept = [f.name for f in schema.fields if f.name not in ("ids", "starts", "ends")]
+
+        def run(batches: Batches) -> Batches:
+            c = codec(path, pattern)
+            for whole in batches:
+                column = whole.column(whole.schema.get_field_index(text))
+                for lo, hi in _slices(_sizes(column)):
+                    raw = [b or b"" for b in column.slice(lo, hi - lo).cast(pa.binary()).to_pylist()]
+                    texts = [b.decode("utf-8", "replace") for b in raw]
+                    ids = [np.frombuffer(b, "<u4") for b in c.encode(texts)]
+                    out = [whole.column(n).slice(lo, hi - lo) for n in kept]
+                    out.append(_lists(ids, pa.int32()))
+                    if offsets:
+                        pairs = [c.offsets(t.encode(), i) for t, i in zip(texts, ids)]
+                        out += [_lists([p[k] for p in pairs], pa.int32()) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
+
+        return schema, run
+
+    return step
+
+
+def decoding(path: str, pattern: str, ids: str = "ids") -> Step:
+    def step(given: T.StructType):
+        schema = _with(given, [("decoded", T.BinaryType())])
+        kept = [f.name for f in schema.fields if f.name != "decoded"]
+
+        def run(batches: Batches) -> Batches:
+            import pyarrow.compute as pc
+
+            c = codec(path, pattern)
+            for whole in batches:
+                column = whole.column(whole.schema.get_field_index(ids))
+                for lo, hi in _slices(_sizes(column, 4)):
+                    some = column.slice(lo, hi - lo)
+                    if (pc.min(some.flatten()).as_py() or 0) < 0:
+                        raise ValueError("an id is not in the vocabulary")
+                    out = [whole.column(n).slice(lo, hi - lo) for n in kept]
+                    out.append(pa.array([c.decode(x or []) for x in some.to_pylist()], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
+
+        return schema, run
+
+    return step
+
+
+def digesting(ids: str = "ids", decoded: str = "decoded") -> Step:
+    def step(given: T.StructType):
+        added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+        schema = _with(T.StructType([f for f in given.fields if f.name not in (ids, decoded)]), added)
+        kept = [f.name for f in schema.fields[: -len(added)]]
+
+        def run(batches: Batches) -> Batches:
+            sha = lambda b: hashlib.sha256(b).hexdigest()
+            for batch in batches:
+                at = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: B023, E731
+                lists = at(ids).to_pylist()
+                out = [at(n) for n in kept]
+                out.append(pa.array([len(x or []) for x in lists], pa.int64()))
+                out.append(pa.array([sha(np.array(x or [], "<u4").tobytes()) for x in lists], pa.string()))
+                out.append(pa.array([sha(b or b"") for b in at(decoded).to_pylist()], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
+
+        return schema, run
+
+    return step
+
+
+def dropping(*names: str) -> Step:
+    """Columns that later steps don't need; they are not sent back to the JVM."""
+
+    def step(given: T.StructType):
+        schema = T.StructType([f for f in given.fields if f.name not in names])
+        kept = [f.name for f in schema.fields]
+        return schema, lambda batches: (b.select(kept) for b in batches)
+
+    return step
+
+
 def encode(
     df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False
 ) -> DataFrame:
     """``df`` with ``ids``, and with ``starts`` and ``ends`` (characters) if asked for."""
-    ints = T.ArrayType(T.IntegerType(), False)
-    schema = _with(df, [("ids", ints)] + [("starts", ints), ("ends", ints)] * offsets)
-    kept = [f.name for f in schema.fields if f.name not in ("ids", "starts", "ends")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for whole in batches:
-            column = whole.column(whole.schema.get_field_index(text))
-            for lo, hi in _slices(_sizes(column)):
-                raw = [b or b"" for b in column.slice(lo, hi - lo).cast(pa.binary()).to_pylist()]
-                texts = [b.decode("utf-8", "replace") for b in raw]
-                ids = [np.frombuffer(b, "<u4") for b in c.encode(texts)]
-                out = [whole.column(n).slice(lo, hi - lo) for n in kept]
-                out.append(_lists(ids, pa.int32()))
-                if offsets:
-                    pairs = [c.offsets(t.encode(), i) for t, i in zip(texts, ids)]
-                    out += [_lists([p[k] for p in pairs], pa.int32()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
-
-    return df.mapInArrow(run, schema)
+    return chain(df, encoding(path, pattern, text, offsets))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -241,46 +326,9 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
 
     Bytes, not text: a list of ids may begin or end inside a character.
     """
-    schema = _with(df, [("decoded", T.BinaryType())])
-    kept = [f.name for f in schema.fields if f.name != "decoded"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        c = codec(path, pattern)
-        for whole in batches:
-            column = whole.column(whole.schema.get_field_index(ids))
-            for lo, hi in _slices(_sizes(column, 4)):
-                some = column.slice(lo, hi - lo)
-                if (pc.min(some.flatten()).as_py() or 0) < 0:
-                    raise ValueError("an id is not in the vocabulary")
-                lists = some.to_pylist()
-                out = [whole.column(n).slice(lo, hi - lo) for n in kept]
-                out.append(pa.array([c.decode(x or []) for x in lists], pa.binary()))
-                yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
-
-    return df.mapInArrow(run, schema)
+    return chain(df, decoding(path, pattern, ids))
 
 
 def digest(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` without both columns, with n_tokens, ids_sha256 and decoded_sha256."""
-    import hashlib
-
-    added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
-    schema = _with(df.drop(ids, decoded), added)
-    kept = [f.name for f in schema.fields[: -len(added)]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
-            lists, text = batch.column(ids), batch.column(decoded)
-            flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            ends = lists.offsets.to_numpy(zero_copy_only=False)
-            parts = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            out = [batch.column(n) for n in kept]
-            out.append(pa.array([len(p) for p in parts], pa.int64()))
-            out.append(pa.array([sha(p.tobytes()) for p in parts], pa.string()))
-            out.append(pa.array([sha(b.as_py() or b"") for b in text], pa.string()))
-            yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
-
-    return df.mapInArrow(run, schema)
+    return chain(df, digesting(ids, decoded))

@@ -48,8 +48,9 @@ def ship(spark: SparkSession) -> None:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.digest(bpe.decode(ids, RANKS, public_tokenizers.PATTERN))
+    vocabulary = (RANKS, public_tokenizers.PATTERN)
+    first = bpe.encoding(*vocabulary), bpe.dropping("text")
+    return bpe.chain(docs, *first, bpe.decoding(*vocabulary), bpe.digesting())
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,4 +150,55 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+_SPLIT = r"""regexp_split_to_array(trim(regexp_replace(lower(coalesce(text, '')),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ')"""
+
+_OP2 = f"""
+WITH items AS (
+  SELECT item_id, t, w, least(5, len(w)) AS n FROM (
+    SELECT item_id, text AS t, {_SPLIT} AS w FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark))
+  WHERE len(w) > 0 AND w[1] <> ''),
+item_runs AS (
+  SELECT DISTINCT item_id, t, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM (
+    SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM items)),
+item_sizes AS (SELECT item_id, t, count(*) AS n_shingles FROM item_runs GROUP BY item_id, t),
+docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_SPLIT} AS w FROM documents),
+doc_runs AS (
+  SELECT DISTINCT row_no, doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM (
+    SELECT row_no, doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+    FROM docs JOIN (SELECT DISTINCT n FROM items) ON len(w) >= n))
+SELECT doc_id, x.item_id, n_shared, n_shingles, round(n_shared / n_shingles, 6) AS containment FROM (
+  SELECT row_no, doc_id, r.item_id, r.t, count(*) AS n_shared
+  FROM doc_runs d JOIN item_runs r ON d.run = r.run AND d.n = r.n GROUP BY row_no, doc_id, r.item_id, r.t) x
+JOIN item_sizes s ON x.item_id IS NOT DISTINCT FROM s.item_id AND x.t = s.t
+WHERE n_shared >= 0.8 * n_shingles"""
+
+
+def _rule_cases(what: str) -> str:
+    cases = []
+    for r in sorted(URL_RULES, key=lambda r: -len(r.text)):
+        path = r.path.replace("'", "''")
+        fits = f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '/{path}')"
+        cases.append(f"WHEN {fits} THEN '{getattr(r, what)}'")
+    return "CASE " + " ".join(cases) + " END"
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_OP3 = f"""
+WITH after_ AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS a
+  FROM pages),
+parts AS (
+  SELECT page_id, html, translate(regexp_extract(a, '^([^/?#]*)', 1), '{_CAPITALS}', '{_CAPITALS.lower()}') AS host,
+         regexp_extract(a, '^[^/?#]*([^?#]*)', 1) AS path FROM after_),
+listed AS (
+  SELECT host AS key FROM parts WHERE host <> '' GROUP BY host
+  HAVING avg(CASE WHEN regexp_matches(html, '(?i)<title>[^<]*[#*$%&|]{{3}}') THEN 1.0 ELSE 0.0 END) >= 0.1)
+SELECT page_id, host, path, {_rule_cases("text")} AS rule,
+       coalesce({_rule_cases("verdict")}, CASE WHEN host IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END)
+       AS verdict
+FROM parts"""
+
+#: Only what SQL can say: the others hash, merge, train or decode, or would compare all strings.
+SQL: dict[str, str] = {"op2_decontamination": _OP2, "op3_url_filter": _OP3}
