@@ -40,8 +40,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, proved by decoding them."""
     ship(spark)
-    ids = bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
-    back = bpe.decode(ids, RANKS, public_tokenizers.PATTERN)
+    vocabulary = (RANKS, public_tokenizers.PATTERN)
+    steps = bpe.encoding(*vocabulary), bpe.decoding(*vocabulary)
+    back = bpe.chain(docs.select("doc_id", "text"), *steps)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "ids", F.size("ids").alias("n_tokens"), same.alias("exact"))
 
