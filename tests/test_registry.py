@@ -5,13 +5,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as registry
+import query_registry
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="tables not present")
 SQL = registry.oracle_sql()
-# Slow searches over many models; run by tests.compare.
-SLOW = {"kmeans_k_search"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +22,7 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(query_registry.QUERIES))
 def test_query(spark, con, name):
     df = registry.queries()[name](spark, FOLDER)
     if name in SQL:
