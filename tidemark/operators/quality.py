@@ -2,6 +2,8 @@
 
 All row-level rules share one scan; duplicates and customer counts add one
 grouped pass each.
+
+Fixed values: the names of the checks, their severities and the wording of their messages.
 """
 
 from __future__ import annotations

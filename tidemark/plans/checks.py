@@ -1,4 +1,7 @@
-"""Checks of finished output tables: (check, status, message) rows."""
+"""Checks of finished output tables: (check, status, message) rows.
+
+Fixed values: the names of the checks and the wording of their messages.
+"""
 
 from __future__ import annotations
 
@@ -65,7 +68,7 @@ def check_features(features: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 _row("Features have customers", rows > 0, _found(rows, "feature rows")),
-                _row("Feature count reasonable", F.lit(25 <= n <= 40), F.lit(f"Found {n} features")),
+                _row("Has ~33 features", F.lit(25 <= n <= 40), F.lit(f"Found {n} features")),
             )
         )
     )

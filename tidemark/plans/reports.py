@@ -1,6 +1,8 @@
 """Business report tables from the predictions and the allocation.
 
 Segments are those of the latest snapshot only, so a customer appears once.
+
+Fixed values: the labels and column names of the report tables.
 """
 
 from __future__ import annotations

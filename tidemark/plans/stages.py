@@ -180,7 +180,8 @@ def allocate(ws: Workspace, budget: float, min_roi: float = 0.0) -> None:
     ws.write(campaigns.portfolio_metrics(chosen), "portfolio_metrics")
     ws.write(campaigns.lift_vs_baseline(chosen), "lift", "json")
     ws.write(campaigns.budget_sensitivity(clv, churn, budget), "budget_sensitivity", "csv")
-    ws.write(campaigns.execution_plan(chosen, seg), "execution_plan")
+    # Files in order of priority, as ranges.
+    ws.write(campaigns.execution_plan(chosen, seg).orderBy("priority_rank"), "execution_plan")
 
 
 def report(ws: Workspace) -> None:
@@ -188,7 +189,8 @@ def report(ws: Workspace) -> None:
     chosen, portfolio = ws.read("allocation"), ws.read("portfolio_metrics")
     clv, churn = ws.read("clv_predictions"), ws.read("churn_predictions")
     seg = snapshots.at_latest_snapshot(ws.read("segment_assignments"))
-    ws.write(reports.customer_action_list(chosen, seg), "reports/customer_actions", "csv")
+    actions = reports.customer_action_list(chosen, seg).orderBy("priority_rank")
+    ws.write(actions, "reports/customer_actions", "csv")
     ws.write(
         reports.customer_action_list(chosen, seg, top=100).orderBy("priority_rank").coalesce(1),
         "reports/top_100_customer_actions",
