@@ -87,6 +87,7 @@ class Codec:
         self.bytes_of: list[bytes | None] = [None] * (max(ranks.values()) + 1)
         for spelled, rank in vocabulary.items():
             self.bytes_of[rank] = bytes(byte_of[c] for c in spelled)
+        self.table = np.array(self.bytes_of, object)
         self.length_of = np.array([len(b or b"") for b in self.bytes_of], np.int64)
         # Ids of parts after a space, and of parts at the start of a line.
         self.known: dict[str, bytes] = {}
@@ -164,9 +165,9 @@ class Codec:
             return begins[:0], begins[:0]
         return character[begins], character[ends - 1] + 1
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
         try:
-            return b"".join(map(self.bytes_of.__getitem__, ids))
+            return b"".join(self.table[np.asarray(ids, np.int64)].tolist())
         except (IndexError, TypeError) as e:
             raise ValueError("an id is not in the vocabulary") from e
 
@@ -199,6 +200,17 @@ def _sizes(column: pa.Array, width: int = 1) -> np.ndarray:
     return pc.fill_null(found, 0).to_numpy(zero_copy_only=False) * width
 
 
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists as arrays, without an object per id; a null list is an empty one."""
+    if lists.null_count:
+        return [np.array(x or [], np.int64) for x in lists.to_pylist()]
+    flat = lists.values
+    if flat.null_count:
+        raise ValueError("a null among the ids")
+    ids, ends = flat.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(zero_copy_only=False)
+    return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values) if values else np.array([])
@@ -273,7 +285,7 @@ def decoding(path: str, pattern: str, ids: str = "ids") -> Step:
                     if (pc.min(some.flatten()).as_py() or 0) < 0:
                         raise ValueError("an id is not in the vocabulary")
                     out = [whole.column(n).slice(lo, hi - lo) for n in kept]
-                    out.append(pa.array([c.decode(x or []) for x in some.to_pylist()], pa.binary()))
+                    out.append(pa.array([c.decode(x) for x in _arrays(some)], pa.binary()))
                     yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
 
         return schema, run
@@ -291,10 +303,10 @@ def digesting(ids: str = "ids", decoded: str = "decoded") -> Step:
             sha = lambda b: hashlib.sha256(b).hexdigest()
             for batch in batches:
                 at = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: B023, E731
-                lists = at(ids).to_pylist()
+                lists = _arrays(at(ids))
                 out = [at(n) for n in kept]
-                out.append(pa.array([len(x or []) for x in lists], pa.int64()))
-                out.append(pa.array([sha(np.array(x or [], "<u4").tobytes()) for x in lists], pa.string()))
+                out.append(pa.array([len(x) for x in lists], pa.int64()))
+                out.append(pa.array([sha(x.astype("<u4").tobytes()) for x in lists], pa.string()))
                 out.append(pa.array([sha(b or b"") for b in at(decoded).to_pylist()], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, [f.name for f in schema.fields])
 
