@@ -56,6 +56,15 @@ def test_against_brute_force(spark, docs, monkeypatch, hot, batch):
     assert sorted(map(repr, got)) == sorted(map(repr, _brute(rows)))
 
 
+def test_repeated_rows_keep_one_text(spark, docs):
+    rng = random.Random(9)
+    once, cut = _text(rng, 400), _text(rng, 400)
+    rows = [(1, once), (1, once), (1, once), (None, cut), (None, cut), (2, cut[:150] + _text(rng, 200))]
+    got = _result(s.dedup(docs(rows)))
+    assert sorted(map(repr, got)) == sorted(map(repr, _brute(rows)))
+    assert sorted(r[2] for r in got if r[0] == 1)[0] == 0
+
+
 def test_no_documents(spark, docs):
     assert s.dedup(docs([])).count() == 0
 

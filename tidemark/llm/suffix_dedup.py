@@ -333,6 +333,10 @@ def _contexts(dealt: DataFrame) -> DataFrame:
         h, c, doc, th, lo, ahead, more = (np.concatenate([x[n] for x in cols]) for n, _ in _PACKED)
         order = np.lexsort((lo, th, doc, c, h))
         h, c, doc, th, lo, ahead, more = (x[order] for x in (h, c, doc, th, lo, ahead, more))
+        # Repeated rows (equal key and text) are one here: the first copy must not lose what it shares with the others.
+        other = np.ones(len(h), bool)
+        other[1:] = np.any([x[1:] != x[:-1] for x in (h, c, doc, th, lo)], axis=0)
+        h, c, doc, th, lo, ahead, more = (x[other] for x in (h, c, doc, th, lo, ahead, more))
         new_h = np.concatenate([[True], h[1:] != h[:-1]])
         new_c = new_h | np.concatenate([[True], c[1:] != c[:-1]])
         group = np.cumsum(new_h) - 1
