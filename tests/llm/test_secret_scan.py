@@ -69,6 +69,21 @@ def test_sample_is_bounded(docs):
     assert s.train(described, sample=40, trees=2) is not None
 
 
+def test_sample_holds_both_classes_and_no_hot_finding_fills_it(spark):
+    def row(k, label, named):
+        return (20.0 + k % 50, (k % 97) / 97, 0.0, (k % 89) / 89, 0.0, 0.3, -5.0, 0.1, 0.0, 0.0, named, named, 0.0, label)
+
+    schema = ", ".join(f"{c} double" for c in [*s.FEATURES, "label"])
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    clean, secret = [row(k, 0.0, 0.0) for k in range(2000)], [row(k, 1.0, 1.0) for k in range(8)]
+    # One secret stands in as many places as all else, and its hash comes first.
+    hashes = make([row(k, 1.0, 1.0) for k in range(3000, 5000)]).orderBy(F.xxhash64(*s.FEATURES, "label")).first()
+    for rows in (clean + secret, clean + [tuple(hashes)] * 2000):
+        judged = s.judge(make(rows), s.train(make(rows), sample=40))
+        share = {r["label"]: r["share"] for r in judged.groupBy("label").agg(F.avg(F.col("secret").cast("int")).alias("share")).collect()}
+        assert share[1.0] == 1.0 and share[0.0] < 0.1, share
+
+
 def test_query_finds_planted_tokens(spark):
     folder = "/root/testdata/sf0.01"
     texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()

@@ -8,7 +8,7 @@ it looks like a path or a host, and its neighbouring words.
 
 Transitions and dictionary are learned from all words of the whole corpus (a
 count per distinct word, then per pair of characters).  The forest is trained
-on labelled findings, at most ``sample`` of them, picked by a hash.  Every
+on distinct labelled findings with weights, at most ``sample`` of each class.  Every
 labelled finding is shown twice, once with its neighbours blanked, so that the
 forest also learns what the value alone says.
 
@@ -23,6 +23,8 @@ labels hold one class only, every candidate gets that class.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -156,19 +158,34 @@ def label_by_marker(described: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, sample: int = 20_000, trees: int = 20, depth: int = 6, seed: int = 7):
     """A forest, or the only class there is; None for no rows.
 
-    ``sample``: at most so many findings are used, those of the smallest hashes.
+    ``sample``: at most so many distinct findings of each class are used.  Equal ones are one,
+    with their number as weight.  The sample is a priority sample: the smallest of hash / number,
+    where a finding stands for as many as its number, and at least for the inverse of the bound.
     """
-    few = labelled.select(*FEATURES, "label").orderBy(F.xxhash64(*FEATURES, "label")).limit(sample)
-    blank = few.withColumns({c: F.lit(0.0) for c in CONTEXT})
-    rows = stage(few.unionByName(blank), "findings")
-    classes = [r[0] for r in rows.select("label").distinct().limit(3).collect()]
+    alike = labelled.groupBy(*FEATURES, "label").agg(F.count("*").alias("n"))
+    place = (F.pmod(F.xxhash64(*FEATURES, "label"), F.lit(2**52)) + 1) / F.lit(2.0**52)
+    alike = stage(alike.withColumn("place", place / F.col("n")), "distinct-findings")
+    classes = [r[0] for r in alike.select("label").distinct().limit(3).collect()]
     if len(classes) < 2:
         return classes[0] if classes else None
+    picked = []
+    for c in classes:
+        few = alike.where(F.col("label") == c).orderBy("place").limit(sample)
+        size, bound = few.agg(F.count("*"), F.max("place")).first()
+        least = 1.0 / bound if size == sample else 0.0
+        picked.append(few.withColumn("weight", F.greatest(F.col("n").cast("double"), F.lit(least))))
+    few = reduce(DataFrame.unionAll, picked)
+    # What was found more than once stays two rows: a node has two at least.
+    times = F.least("n", F.lit(2)).cast("int")
+    few = few.withColumn("weight", F.col("weight") / times).withColumn("__", F.explode(F.array_repeat(F.lit(1), times)))
+    few = few.select(*FEATURES, "label", "weight")
+    blank = few.withColumns({c: F.lit(0.0) for c in CONTEXT})
+    rows = stage(few.unionByName(blank), "findings")
     both = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird", minInstancesPerNode=2
+        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird", minInstancesPerNode=2, weightCol="weight"
     )
-    return forest.fit(both.select("features", "label"))
+    return forest.fit(both.select("features", "label", "weight"))
 
 
 def judge(described: DataFrame, model, threshold: float = 0.5) -> DataFrame:
