@@ -16,6 +16,7 @@ from tidemark.llm import (
     bpe,
     decontaminate,
     license_scan,
+    prefix_trie,
     quality_rules,
     rule_ensemble,
     secret_scan,
@@ -134,6 +135,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(docs, table(spark, sf_dir, "labels"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -147,6 +153,7 @@ QUERIES = {
         op8_chat_format,
         op9_secret_scan,
         op10_quality_classifier,
+        op13_prefix_trie,
     )
 }
 
