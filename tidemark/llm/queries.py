@@ -18,6 +18,7 @@ from tidemark.llm import (
     license_scan,
     prefix_trie,
     quality_rules,
+    recompression,
     rule_ensemble,
     secret_scan,
     simhash,
@@ -135,6 +136,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(docs, table(spark, sf_dir, "labels"))
 
 
+def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return recompression.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
@@ -153,6 +159,7 @@ QUERIES = {
         op8_chat_format,
         op9_secret_scan,
         op10_quality_classifier,
+        op12_recompression,
         op13_prefix_trie,
     )
 }
