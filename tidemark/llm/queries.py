@@ -24,6 +24,7 @@ from tidemark.llm import (
     simhash,
     suffix_dedup,
     transcripts,
+    turn_repair,
     url_filter,
 )
 from tidemark.llm.text import table
@@ -136,6 +137,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(docs, table(spark, sf_dir, "labels"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults by the checksum of their place: dropped, emptied, cut, repeated, of another role."""
+    space = F.lit(" ")
+    part = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(part[0], F.lit(":"), part[1]).cast("binary")) % 20
+    text = F.coalesce("text", space)
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(kind == 4, "user").otherwise(F.coalesce("role", space))
+    times = F.explode(F.array_repeat(F.lit(1), F.when(kind == 3, 2).otherwise(1)))
+    rows = conversations.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("n"))
+    return rows.drop("n")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.repair(damaged(conversations), conversations)
+
+
 def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return recompression.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -159,6 +179,7 @@ QUERIES = {
         op8_chat_format,
         op9_secret_scan,
         op10_quality_classifier,
+        op11_turn_repair,
         op12_recompression,
         op13_prefix_trie,
     )

@@ -70,10 +70,18 @@ def joined_sha256(rows: DataFrame, key: str, order: Sequence[str], line: str, be
     A digest takes its bytes one after the other, so the rows of a key stream
     through one task, sorted by Spark; the task holds one batch of them.
     """
+    return sorted_sha256(rows.repartition(key).sortWithinPartitions(key, *order), key, line, between)
+
+
+def sorted_sha256(rows: DataFrame, key: str, line: str, between: str) -> DataFrame:
+    """As ``joined_sha256``, for rows that lie together by key and in order."""
     mark = between.encode()
-    ordered = rows.repartition(key).sortWithinPartitions(key, *order).select(key, F.col(line).alias("__line"))
     kind = rows.schema[key].dataType.simpleString()
 
+    def _digests(done: list, kinds: pa.DataType) -> pa.RecordBatch:
+        columns = [pa.array([k for k, _ in done], kinds), pa.array([d for _, d in done], pa.string())]
+        return pa.RecordBatch.from_arrays(columns, [key, "sha256"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_key, state, kinds = None, None, None
         for batch in batches:
@@ -91,8 +99,4 @@ def joined_sha256(rows: DataFrame, key: str, order: Sequence[str], line: str, be
         if state is not None:
             yield _digests([(open_key, state.hexdigest())], kinds)
 
-    def _digests(done: list, kinds: pa.DataType) -> pa.RecordBatch:
-        columns = [pa.array([k for k, _ in done], kinds), pa.array([d for _, d in done], pa.string())]
-        return pa.RecordBatch.from_arrays(columns, [key, "sha256"])
-
-    return ordered.mapInArrow(run, f"{key} {kind}, sha256 string")
+    return rows.select(key, F.col(line).alias("__line")).mapInArrow(run, f"{key} {kind}, sha256 string")
