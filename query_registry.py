@@ -429,7 +429,7 @@ def _churn_eval(i: Inputs) -> DataFrame:
 
 
 def _bounds(i: Inputs) -> DataFrame:
-    model = prediction.train_bounds(i.value_model, i.value_rows)
+    model = prediction.train_value(i.value_rows, bounds=True)
     return model.predict(i.latest_features, bounds=True)
 
 

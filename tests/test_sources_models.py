@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import clustering, prediction
+from tidemark.operators import boosting, clustering, prediction
 from tidemark.plans import stages
 from tidemark.sources import tables, transactions
 
@@ -32,9 +32,9 @@ def test_folder_of_both_encodings(spark, tmp_path):
 
 def test_boosting_stops_after_patience():
     losses = [1.0 / (i + 1) for i in range(30)] + [0.5] * 80
-    assert prediction.best_round(losses, 50) == (30, True)
-    assert prediction.best_round(losses[:60], 50) == (30, False)
-    assert prediction.best_round([2.0, 1.0], 50) == (2, False)
+    assert boosting.best_round(losses, 50) == (30, True)
+    assert boosting.best_round(losses[:60], 50) == (30, False)
+    assert boosting.best_round([2.0, 1.0], 50) == (2, False)
 
 
 def test_boosting_keeps_as_many_rounds_as_help(spark):
@@ -48,7 +48,7 @@ def test_boosting_keeps_as_many_rounds_as_help(spark):
     ).withColumn("clv_target", F.col("a") * F.col("b") / 10 + noise)
     rules = prediction.TreeRules(rounds=60, patience=5, step=0.1, depth=3)
     model = prediction.train_value(rows, rules)
-    assert model.model.stages[-1].getNumTrees > 20
+    assert len(model.model.trees) > 20
 
 
 @pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
@@ -135,10 +135,11 @@ def test_churn_model_learns_and_reloads(spark, labelled, tmp_path):
     assert sorted(map(tuple, again.predict(one).collect())) == sorted(map(tuple, model.predict(one).collect()))
 
 
-def test_value_model_and_band(spark, labelled, tmp_path):
+@pytest.mark.parametrize("bounds", [prediction.train_bounds, prediction.train_forest_bounds])
+def test_value_model_and_band(spark, labelled, tmp_path, bounds):
     features, _, value = labelled
     rows = prediction.training_rows(features, value, "clv_target")
-    model = prediction.train_bounds(prediction.train_value(rows, RULES), rows, RULES)
+    model = bounds(prediction.train_value(rows, RULES), rows, RULES)
     scored = model.predict(rows.where("split = 'test'"), bounds=True, keep=("clv_target",))
     for r in scored.limit(50).collect():
         assert 0 <= r["clv_lower_10pct"] <= r["clv_median"] <= r["clv_upper_90pct"]
@@ -161,7 +162,7 @@ def test_band_covers_known_noise(spark):
         F.rand(3).alias("u"),
     ).withColumn("clv_target", F.col("a") * 100 + 50 + F.col("u") * 40).drop("u")
     rules = prediction.TreeRules(rounds=5, patience=2, depth=3, forest_trees=10)
-    model = prediction.train_bounds(prediction.train_value(rows, rules), rows, rules)
+    model = prediction.train_forest_bounds(prediction.train_value(rows, rules), rows, rules)
     scored = model.predict(rows.where("split = 'test'"), bounds=True, keep=("clv_target",))
     assert 0.75 < prediction.coverage(scored).first()["coverage"] < 0.85
 

@@ -1,18 +1,18 @@
-"""Churn and lifetime-value models: boosted trees, and a forest for the bounds."""
+"""Churn and lifetime-value models: boosted trees, also for the quantiles of a band; or a forest."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
+from tidemark.operators.boosting import Ensemble, Growth, Objective, grow
 from tidemark.operators.evaluation import (
     best_threshold,
     class_weights,
@@ -20,7 +20,7 @@ from tidemark.operators.evaluation import (
     temporal_split,
     threshold_scores,
 )
-from tidemark.sources.tables import load_model, save_model
+from tidemark.sources.tables import load_model, load_table, save_model, save_table
 
 KEYS = ["customer_id", "snapshot_date"]
 # Columns that are never model inputs.
@@ -40,16 +40,8 @@ NOT_FEATURES = (
 
 
 @dataclass(frozen=True)
-class TreeRules:
-    rounds: int = 1000  # at most; validation rows decide
-    patience: int = 50  # rounds without a better validation loss
-    step: float = 0.05
-    depth: int = 5  # 32 leaves
-    row_share: float = 0.8
-    column_share: str = "0.8"
-    min_rows: int = 20
+class TreeRules(Growth):
     forest_trees: int = 100
-    seed: int = 42
 
 
 def model_columns(rows: DataFrame) -> list[str]:
@@ -75,63 +67,9 @@ def _inputs(columns: list[str]) -> list:
     ]
 
 
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """(round of the least loss before patience ran out, whether it did run out), from 1."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def _fit(rows: DataFrame, columns: list[str], learner, rules: TreeRules) -> PipelineModel:
-    """Boosting on train rows, cut at the round of the least validation loss.
-
-    Twice as many rounds are grown until the best one is ``patience`` rounds
-    back, or ``rounds`` is reached; then the ensemble is grown to the best
-    round.  Rounds depend on the seed and their number alone, so that every
-    growth begins with the same trees.
-    """
-    train = rows.where(F.col("split") == "train")
-    prepared = Pipeline(stages=_inputs(columns)).fit(train)
-    seen = prepared.transform(train)
-    held = prepared.transform(rows.where(F.col("split") == "val"))
-    loss = [] if isinstance(learner, GBTClassifier) else ["squared"]
-    grown = min(rules.rounds, rules.patience + 10)
-    while True:
-        model = learner.copy({learner.maxIter: grown}).fit(seen)
-        if held.isEmpty():
-            break
-        best, over = best_round(model.evaluateEachIteration(held, *loss), rules.patience)
-        if over or grown >= rules.rounds:
-            if best < grown:
-                model = learner.copy({learner.maxIter: best}).fit(seen)
-            break
-        grown = min(rules.rounds, 2 * grown)
-    return PipelineModel(stages=[*prepared.stages, model])
-
-
-def _boosting(rules: TreeRules) -> dict:
-    return dict(
-        featuresCol="inputs",
-        stepSize=rules.step,
-        maxDepth=rules.depth,
-        subsamplingRate=rules.row_share,
-        featureSubsetStrategy=rules.column_share,
-        minInstancesPerNode=rules.min_rows,
-        seed=rules.seed,
-    )
-
-
-def feature_importance(model: PipelineModel, rows: DataFrame, top: int | None = None) -> DataFrame:
-    """Importance per input column, highest first."""
-    names = [c.removesuffix("__filled") for c in model.stages[-2].getInputCols()]
-    weights = model.stages[-1].featureImportances
-    table = rows.sparkSession.createDataFrame(
-        [(n, float(weights[i])) for i, n in enumerate(names)], "feature string, importance double"
-    ).orderBy(F.desc("importance"), "feature")
+def feature_importance(model: Ensemble, rows: DataFrame, top: int | None = None) -> DataFrame:
+    """Total gain per input column, highest first."""
+    table = model.importance(rows.sparkSession).orderBy(F.desc("importance"), "feature")
     return table if top is None else table.limit(top)
 
 
@@ -140,33 +78,24 @@ def feature_importance(model: PipelineModel, rows: DataFrame, top: int | None =
 
 @dataclass(frozen=True)
 class ChurnModel:
-    model: PipelineModel
+    model: Ensemble
     columns: tuple[str, ...]
     threshold: float
     thresholds: DataFrame
 
     def save(self, path: str) -> None:
-        """Pipeline, threshold with all threshold scores, and input columns."""
-        facts = self.thresholds.withColumns(
-            {
-                "model_columns": F.array(*[F.lit(c) for c in self.columns]),
-                "model_threshold": F.lit(float(self.threshold)),
-            }
-        )
-        save_model(self.model, facts, path)
+        """Trees, threshold with all threshold scores, and input columns."""
+        self.model.save(self.thresholds.sparkSession, f"{path}/model")
+        save_table(self.thresholds.withColumn("model_threshold", F.lit(float(self.threshold))), f"{path}/thresholds")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ChurnModel:
-        model, facts = load_model(spark, path)
-        known = facts.first()
-        scores = facts.drop("model_columns", "model_threshold")
-        return cls(model, tuple(known["model_columns"]), known["model_threshold"], scores)
+        model, facts = Ensemble.load(spark, f"{path}/model"), load_table(spark, f"{path}/thresholds")
+        return cls(model, model.columns, facts.first()["model_threshold"], facts.drop("model_threshold"))
 
     def score(self, features: DataFrame) -> DataFrame:
         """Features with ``churn_probability``."""
-        return _apply(self.model, features, self.columns).withColumn(
-            "churn_probability", vector_to_array("probability")[1]
-        )
+        return features.withColumn("churn_probability", self.model.predicted(features.sparkSession))
 
     def predict(self, features: DataFrame) -> DataFrame:
         """Probability, 0/1 decision at the threshold, and risk level per row."""
@@ -179,10 +108,6 @@ class ChurnModel:
         )
 
 
-def _apply(model: PipelineModel, features: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return model.transform(features.withColumns({c: F.col(c).cast("double") for c in columns}))
-
-
 def train_churn(
     rows: DataFrame,
     rules: TreeRules = TreeRules(),
@@ -193,8 +118,7 @@ def train_churn(
     columns = model_columns(rows)
     weights = class_weights(rows.where(F.col("split") == "train"), balance=balance)
     weighted = rows.join(F.broadcast(weights), "churn_label")
-    learner = GBTClassifier(labelCol="churn_label", weightCol="weight", **_boosting(rules))
-    model = _fit(weighted, columns, learner, rules)
+    (model,) = grow(weighted, columns, [Objective("logistic")], F.col("churn_label"), F.col("weight"), rules)
     draft = ChurnModel(model, tuple(columns), 0.5, weights)
     validated = draft.score(rows.where(F.col("split") == "val")).select(
         "churn_label", "churn_probability"
@@ -231,97 +155,124 @@ def churn_adjusted(predicted: DataFrame, churn: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class ValueModel:
+class Forest:
+    """Quantile regression forest: its trees, and the points of all their leaves."""
+
     model: PipelineModel
+    leaves: DataFrame
+
+    def band(self, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        """``rows`` with ``__band``, the quantiles BAND."""
+        # The quantiles of all leaves are one small nested array, indexed by
+        # tree and leaf: scoring stays a map over rows.
+        q = F.transform(
+            vector_to_array("leaf").cast("array<int>"),
+            lambda leaf, i: F.get(F.get(F.col("__leaves"), i), leaf),
+        )
+        ready = rows.withColumns({c: F.col(c).cast("double") for c in columns})
+        leafed = self.model.transform(ready).withColumn("__leaves", self.leaves.scalar())
+        pooled = leafed.withColumn("pool", F.sort_array(F.flatten(q)))
+
+        def at(p: float) -> Column:
+            place = F.greatest(F.ceil(F.lit(p) * F.size("pool")), F.lit(1))
+            return F.element_at("pool", place.cast("int"))
+
+        return pooled.withColumn("__band", F.array(*[at(p) for p in BAND]))
+
+
+@dataclass(frozen=True)
+class ValueModel:
+    model: Ensemble
     columns: tuple[str, ...]
     log_transform: bool
-    forest: PipelineModel | None = None
-    leaves: DataFrame | None = None
+    bands: tuple[Ensemble, ...] = ()
+    forest: Forest | None = None
 
     def save(self, path: str) -> None:
-        """Point model, forest and leaf points, columns and settings."""
+        """Point model, boosters or forest of the band, and settings."""
         spark = SparkSession.getActiveSession()
-        facts = [(list(self.columns), self.log_transform, self.forest is not None)]
-        schema = "columns array<string>, log_transform boolean, bounds boolean"
-        save_model(self.model, spark.createDataFrame(facts, schema), path)
+        facts = [(self.log_transform, len(self.bands), self.forest is not None)]
+        save_table(spark.createDataFrame(facts, "log_transform boolean, bands int, forest boolean"), f"{path}/settings")
+        self.model.save(spark, f"{path}/model")
+        for k, band in enumerate(self.bands):
+            band.save(spark, f"{path}/bands/{k}")
         if self.forest is not None:
-            save_model(self.forest, self.leaves, f"{path}/bounds")
+            save_model(self.forest.model, self.forest.leaves, f"{path}/forest")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ValueModel:
-        model, facts = load_model(spark, path)
-        known = facts.first()
-        extra = load_model(spark, f"{path}/bounds") if known["bounds"] else (None, None)
-        return cls(model, tuple(known["columns"]), known["log_transform"], *extra)
+        known = load_table(spark, f"{path}/settings").first()
+        model = Ensemble.load(spark, f"{path}/model")
+        bands = tuple(Ensemble.load(spark, f"{path}/bands/{k}") for k in range(known["bands"]))
+        forest = Forest(*load_model(spark, f"{path}/forest")) if known["forest"] else None
+        return cls(model, model.columns, known["log_transform"], bands, forest)
 
     def _back(self, col: Column) -> Column:
         return from_log(col) if self.log_transform else F.greatest(col, F.lit(0.0))
 
     def predict(self, features: DataFrame, bounds: bool = False, keep: tuple[str, ...] = ()):
         """``clv_prediction``, and the 10 to 90 percent band when asked for."""
-        out = (
-            _apply(self.model, features, self.columns)
-            .withColumn("clv_prediction", self._back(F.col("prediction")))
-            .drop("prediction", "inputs", *[f"{c}__filled" for c in self.columns])
-        )
+        spark = features.sparkSession
+        out = features.withColumn("clv_prediction", self._back(self.model.predicted(spark)))
         if not bounds:
             return out.select("customer_id", *keep, "clv_prediction")
-        if self.forest is None or self.leaves is None:
+        if self.forest is not None:
+            out = self.forest.band(out, self.columns)
+        elif self.bands:
+            # Boosters are trained one by one and may cross: their values are put in order.
+            out = out.withColumn("__band", F.sort_array(F.array(*[b.predicted(spark) for b in self.bands])))
+        else:
             raise ValueError("train the bounds first")
-        # The quantiles of all leaves are one small nested array, indexed by
-        # tree and leaf: scoring stays a map over rows.
-        q = F.transform(
-            vector_to_array("leaf").cast("array<int>"),
-            lambda leaf, i: F.get(F.get(F.col("__leaves"), i), leaf),
-        )
-        leafed = (
-            self.forest.transform(out)
-            .withColumn("__leaves", self.leaves.scalar())
-            .withColumn("band", q)
-        )
-
-        pooled = leafed.withColumn("pool", F.sort_array(F.flatten("band")))
-
-        def at(p: float) -> Column:
-            place = F.greatest(F.ceil(F.lit(p) * F.size("pool")), F.lit(1))
-            return self._back(F.element_at("pool", place.cast("int")))
-
-        return (
-            pooled.withColumn("clv_lower_10pct", at(BAND[0]))
-            .withColumn("clv_median", at(BAND[1]))
-            .withColumn("clv_upper_90pct", at(BAND[2]))
-            .withColumn("clv_uncertainty", F.col("clv_upper_90pct") - F.col("clv_lower_10pct"))
-            .select(
-                "customer_id",
-                *keep,
-                "clv_prediction",
-                "clv_lower_10pct",
-                "clv_median",
-                "clv_upper_90pct",
-                "clv_uncertainty",
-            )
+        lower, median, upper = (self._back(F.col("__band")[k]) for k in range(len(BAND)))
+        return out.select(
+            "customer_id",
+            *keep,
+            "clv_prediction",
+            lower.alias("clv_lower_10pct"),
+            median.alias("clv_median"),
+            upper.alias("clv_upper_90pct"),
+            (upper - lower).alias("clv_uncertainty"),
         )
 
     def predict_risk_adjusted(self, features: DataFrame, churn: DataFrame) -> DataFrame:
         """Band and prediction times the chance to stay."""
-        return churn_adjusted(self.predict(features, bounds=self.forest is not None), churn)
+        bounds = bool(self.bands) or self.forest is not None
+        return churn_adjusted(self.predict(features, bounds=bounds), churn)
+
+
+def _value_target(log_transform: bool) -> Column:
+    return to_log(F.col("clv_target")) if log_transform else F.col("clv_target")
 
 
 def train_value(
-    rows: DataFrame, rules: TreeRules = TreeRules(), log_transform: bool = True
+    rows: DataFrame,
+    rules: TreeRules = TreeRules(),
+    log_transform: bool = True,
+    objective: float | None = None,
+    bounds: bool = False,
 ) -> ValueModel:
-    """Point model: boosted regression trees on (log) future revenue."""
+    """Point model on (log) future revenue: its mean, or the quantile ``objective``.
+
+    With ``bounds`` the boosters of the band grow in the same passes.
+    """
     columns = model_columns(rows)
-    y = to_log(F.col("clv_target")) if log_transform else F.col("clv_target")
-    learner = GBTRegressor(labelCol="y", **_boosting(rules))
-    model = _fit(rows.withColumn("y", y), columns, learner, rules)
-    return ValueModel(model, tuple(columns), log_transform)
+    point = Objective("squared") if objective is None else Objective("quantile", objective)
+    band = [Objective("quantile", q) for q in BAND] if bounds else []
+    model, *bands = grow(rows, columns, [point, *band], _value_target(log_transform), rules=rules)
+    return ValueModel(model, tuple(columns), log_transform, tuple(bands))
 
 
-def train_bounds(
+def train_bounds(value: ValueModel, rows: DataFrame, rules: TreeRules = TreeRules()) -> ValueModel:
+    """``value`` with boosters of pinball loss for the band and the median."""
+    band = [Objective("quantile", q) for q in BAND]
+    bands = grow(rows, value.columns, band, _value_target(value.log_transform), rules=rules)
+    return replace(value, bands=tuple(bands), forest=None)
+
+
+def train_forest_bounds(
     value: ValueModel, rows: DataFrame, rules: TreeRules = TreeRules()
 ) -> ValueModel:
-    """Quantile regression forest (Meinshausen, 2006) for the band and the median.
+    """The band from a quantile regression forest (Meinshausen, 2006) for the band and the median.
 
     A row's band comes from the training targets of all leaves it falls in,
     pooled, with a weight of one over the size of the leaf.  Every leaf keeps
@@ -329,7 +280,7 @@ def train_bounds(
     sketch, so a leaf with most of the rows costs no more than any other, and the
     pool is the points of one leaf per tree.
     """
-    y = to_log(F.col("clv_target")) if value.log_transform else F.col("clv_target")
+    y = _value_target(value.log_transform)
     train = rows.where(F.col("split") == "train").withColumn("y", y)
     forest = Pipeline(
         stages=[
@@ -371,9 +322,7 @@ def train_bounds(
             "q"
         )
     )
-    return ValueModel(
-        value.model, value.columns, value.log_transform, forest, stage(leaves, "leaves")
-    )
+    return replace(value, bands=(), forest=Forest(forest, stage(leaves, "leaves")))
 
 
 def coverage(scored: DataFrame, actual: str = "clv_target") -> DataFrame:

@@ -140,8 +140,7 @@ def predict_value(
         "clv_targets",
     )
     rows = prediction.training_rows(store, made, "clv_target")
-    model = prediction.train_value(rows, rules, settings.value.log_transform)
-    model = prediction.train_bounds(model, rows, rules)
+    model = prediction.train_value(rows, rules, settings.value.log_transform, bounds=True)
     test = stage(
         model.predict(
             rows.where(F.col("split") == "test"), keep=("snapshot_date", "clv_target")
