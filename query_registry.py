@@ -231,9 +231,7 @@ class Inputs:
     def segmentation(self):
         return self._once(
             "segmentation",
-            lambda: clustering.fit_segments(
-                self.latest_features, rules=clustering.ClusterRules(parallel_fits=8)
-            ),
+            lambda: clustering.fit_segments(self.latest_features),
         )
 
 

@@ -35,6 +35,9 @@ def test_boosting_stops_after_patience():
     assert boosting.best_round(losses, 50) == (30, True)
     assert boosting.best_round(losses[:60], 50) == (30, False)
     assert boosting.best_round([2.0, 1.0], 50) == (2, False)
+    slow = [1.0 - 1e-6 * i for i in range(200)]
+    assert boosting.best_round(slow, 50) == (200, False)
+    assert boosting.best_round(slow, 50, 1e-4) == (51, True)
 
 
 def test_boosting_keeps_as_many_rounds_as_help(spark):

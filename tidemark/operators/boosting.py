@@ -51,6 +51,7 @@ class Objective:
 class Growth:
     rounds: int = 1000  # at most; validation rows decide
     patience: int = 50  # rounds without a better validation loss
+    least: float = 1e-4  # share by which that many rounds have to lower it
     step: float = 0.05
     depth: int = 5  # 32 leaves
     row_share: float = 0.8
@@ -346,15 +347,18 @@ def _next_grid(grid: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.concatenate([grid[:1], inner, grid[-1:]]))
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(round of the least loss before patience ran out, whether it did run out), from 1."""
-    best = 0
+def best_round(losses: Sequence[float], patience: int, least: float = 0.0) -> tuple[int, bool]:
+    """(round of the least loss, whether patience ran out), from 1.
+
+    Patience runs out after ``patience`` rounds that together lower the loss by a share of at most ``least``.
+    """
+    mark = 0
     for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+        if loss < losses[mark] - least * abs(losses[mark]):
+            mark = i
+        elif i and i - mark >= patience:
+            return int(np.argmin(losses[: i + 1])) + 1, True
+    return (int(np.argmin(losses)) if losses else 0) + 1, False
 
 
 # --- growing -------------------------------------------------------------------------------
@@ -468,7 +472,7 @@ def grow(
                     of = found["cell"] == -1 - m
                     if r and not done[m] and found["b"][of].sum():
                         model.losses.append(float(found["a"][of].sum() / found["b"][of].sum()))
-                        done[m] = best_round(model.losses, rules.patience)[1]
+                        done[m] = best_round(model.losses, rules.patience, rules.least)[1]
                 if r == rules.rounds or all(done):
                     break
             inside = found["cell"] >= 0
@@ -492,4 +496,4 @@ def grow(
             if not done[m]:
                 models[m].trees.append(tree)
     seen.unpersist()
-    return [m.first(best_round(m.losses, rules.patience)[0]) if m.losses else m for m in models]
+    return [m.first(best_round(m.losses, rules.patience, rules.least)[0]) if m.losses else m for m in models]

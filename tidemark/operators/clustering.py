@@ -5,19 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.quantiles import exact_quantiles
+from tidemark.functions.staging import stage
+from tidemark.operators import kmeans
 from tidemark.operators.segments import name_assignments, segment_profiles
+from tidemark.sources.tables import load_table, save_table
 
 # The features that describe a customer for clustering, in order.
 CLUSTER_FEATURES = (
@@ -38,7 +34,6 @@ class ClusterRules:
     restarts: int = 10
     max_iter: int = 300
     seed: int = 42
-    parallel_fits: int = 4
     most_segments: int = 6
 
 
@@ -49,53 +44,10 @@ def cluster_columns(features: DataFrame) -> list[str]:
     return present
 
 
-def preparation(columns: Sequence[str]) -> Pipeline:
-    """Median fill, assembly and scaling."""
-    filled = [f"{c}__filled" for c in columns]
-    return Pipeline(
-        stages=[
-            Imputer(strategy="median", inputCols=list(columns), outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="assembled"),
-            StandardScaler(
-                inputCol="assembled", outputCol="scaled", withMean=True, withStd=True
-            ),
-        ]
-    )
-
-
 def as_doubles(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     return features.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def _fits(data: DataFrame, jobs: list[tuple[int, int]], rules: ClusterRules):
-    """Fit (k, seed) pairs as concurrent Spark jobs over the cached vectors."""
-
-    def fit(job: tuple[int, int]):
-        k, seed = job
-        return k, KMeans(
-            k=k, seed=seed, maxIter=rules.max_iter, featuresCol="scaled", predictionCol="segment"
-        ).fit(data)
-
-    with ThreadPool(min(rules.parallel_fits, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs)
-
-
-def _best_per_k(data: DataFrame, ks: Sequence[int], rules: ClusterRules) -> dict[int, object]:
-    jobs = [(k, rules.seed + r) for k in ks for r in range(rules.restarts)]
-    best: dict[int, object] = {}
-    for k, model in _fits(data, jobs, rules):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
-
-
-def silhouette(model, data: DataFrame) -> float:
-    """Squared-Euclidean silhouette: linear cost, unlike the pairwise one."""
-    return ClusteringEvaluator(featuresCol="scaled", predictionCol="segment").evaluate(
-        model.transform(data)
-    )
-
-
 def choose_k(inertias: dict[int, float], silhouettes: dict[int, float], most: int = 6) -> int:
     """Best silhouette; above ``most`` clusters the elbow, at most ``most``."""
     best = max(sorted(silhouettes), key=lambda k: silhouettes[k])
@@ -110,65 +62,92 @@ def choose_k(inertias: dict[int, float], silhouettes: dict[int, float], most: in
     return min(elbow, most)
 
 
-def k_search(data: DataFrame, rules: ClusterRules = ClusterRules()):
-    """Inertia and silhouette per K over prepared vectors."""
-    best = _best_per_k(data, range(rules.k_min, rules.k_max + 1), rules)
-    inertias = {k: m.summary.trainingCost for k, m in best.items()}
-    scores = {k: silhouette(m, data) for k, m in best.items()}
-    return best, inertias, scores
-
-
 @dataclass(frozen=True)
 class Segmentation:
-    model: PipelineModel
+    """Fill values, scaling and centres learned on one snapshot."""
+
+    medians: tuple[float, ...]
+    scales: tuple[tuple[float, float], ...]
+    centres: tuple[tuple[float, ...], ...]
     k: int
     inertia: float
     silhouette: float
     columns: tuple[str, ...]
     search: DataFrame | None
 
+    def prepared(self, features: DataFrame) -> DataFrame:
+        """``features`` with filled and standardised inputs, and ``segment``."""
+        scaled = standardised(median_filled(features, self.columns, self.medians), self.columns, self.scales)
+        return scaled.withColumn("segment", nearest_centre(self.columns, self.centres))
+
     def assign(self, features: DataFrame) -> DataFrame:
-        """Nearest centre for every row, of any snapshot."""
-        kept = features.columns
-        return self.model.transform(as_doubles(features, self.columns)).select(
-            *[c for c in kept if c != "segment"], "segment"
+        """Nearest centre for every row, of any snapshot; the inputs stay as they are."""
+        kept = [c for c in features.columns if c != "segment"]
+        inputs = {f"__{c}": F.col(c) for c in self.columns}
+        names = [f"__{c}" for c in self.columns]
+        scaled = standardised(median_filled(features.withColumns(inputs), names, self.medians), names, self.scales)
+        return scaled.select(*kept, nearest_centre(names, self.centres).alias("segment"))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [
+            (c, m, *map(float, s), [float(x[i]) for x in self.centres], self.k, self.inertia, self.silhouette, i)
+            for i, (c, m, s) in enumerate(zip(self.columns, self.medians, self.scales))
+        ]
+        schema = (
+            "column string, median double, mean double, deviation double, centres array<double>, "
+            "k int, inertia double, silhouette double, place int"
+        )
+        save_table(spark.createDataFrame(rows, schema), path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Segmentation:
+        rows = load_table(spark, path).orderBy("place").collect()  # a row for each input column
+        return cls(
+            tuple(r["median"] for r in rows),
+            tuple((r["mean"], r["deviation"]) for r in rows),
+            tuple(zip(*[r["centres"] for r in rows])),
+            rows[0]["k"],
+            rows[0]["inertia"],
+            rows[0]["silhouette"],
+            tuple(r["column"] for r in rows),
+            None,
         )
-
-    def centres(self):
-        return self.model.stages[-1].clusterCenters()
 
 
 def fit_segments(
     latest: DataFrame, k: int | None = None, rules: ClusterRules = ClusterRules()
 ) -> Segmentation:
-    """Fit on the rows of one snapshot; K is searched when not given."""
+    """Fit on the rows of one snapshot; K is searched when not given.
+
+    All restarts of all K are fitted in the same passes over the rows, and the best
+    model of each K is judged by its silhouette.
+    """
     columns = cluster_columns(latest)
-    typed = as_doubles(latest, columns).select("customer_id", *columns)
-    prepared = preparation(columns).fit(typed)
-    data = prepared.transform(typed).select("customer_id", "scaled").persist()
+    typed = stage(as_doubles(latest, columns).select("customer_id", *columns), "clustering")
+    medians = tuple(0.0 if m is None else m for m in fill_values(typed, columns))  # 0 for a column of nulls
+    filled = median_filled(typed, columns, medians)
+    scales = scale_values(filled, columns)
+    data = kmeans.Vectors(standardised(filled, columns, scales), "customer_id", columns)
     try:
-        n = data.count()
-        search = None
-        if k is None:
-            best, inertias, scores = k_search(data, rules)
-            k = choose_k(inertias, scores, rules.most_segments)
-            model, score = best[k], scores[k]
-            chosen = k
-            search = latest.sparkSession.createDataFrame(
-                [(i, float(inertias[i]), float(scores[i]), i == chosen) for i in sorted(inertias)],
-                "k int, inertia double, silhouette double, chosen boolean",
-            )
-        else:
-            model = _best_per_k(data, [k], rules)[k]
-            score = silhouette(model, data)
-        # Scaling divides by the sample deviation; inertia is reported for the
-        # population deviation, which differs by this factor only.
-        inertia = model.summary.trainingCost * n / max(n - 1, 1)
+        ks = range(rules.k_min, rules.k_max + 1) if k is None else [k]
+        jobs = [(i, rules.seed + r) for i in ks for r in range(rules.restarts)]
+        best: dict[int, kmeans.Model] = {}
+        for m in kmeans.fit(data, jobs, rules.max_iter):
+            if m.k not in best or m.inertia < best[m.k].inertia:
+                best[m.k] = m
+        scores = dict(zip(best, kmeans.silhouettes(data, list(best.values()))))
     finally:
-        data.unpersist()
-    return Segmentation(
-        PipelineModel(stages=[*prepared.stages, model]), k, inertia, score, tuple(columns), search
-    )
+        data.close()
+    inertias = {i: m.inertia for i, m in best.items()}
+    search = None
+    if k is None:
+        k = choose_k(inertias, {i: s for i, (s, _) in scores.items()}, rules.most_segments)
+        search = latest.sparkSession.createDataFrame(
+            [(i, inertias[i], *scores[i], i == k) for i in sorted(inertias)],
+            "k int, inertia double, silhouette double, silhouette_error double, chosen boolean",
+        )
+    centres = tuple(tuple(map(float, c)) for c in best[k].centres)
+    return Segmentation(medians, scales, centres, k, inertias[k], scores[k][0], tuple(columns), search)
 
 
 def worst_ratio(spread: dict[int, float], centres: dict) -> float | None:
@@ -185,26 +164,37 @@ def worst_ratio(spread: dict[int, float], centres: dict) -> float | None:
     return sum(worst) / len(worst) if worst else None
 
 
-# --- the same steps for any grouping ------------------------------------------------------
+# --- steps that any grouping can use --------------------------------------------------------
+
 
+def fill_values(df: DataFrame, columns: Sequence[str]) -> tuple[float | None, ...]:
+    """Exact median of each column; None for a column of nulls."""
+    return tuple(exact_quantiles(df, F.col(c).cast("double"), [0.5])[0] for c in columns)
 
-def median_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with nulls of ``columns`` replaced by the exact median of the column."""
-    out = {}
-    for c in columns:
-        (middle,) = exact_quantiles(df, F.col(c).cast("double"), [0.5])
-        out[c] = F.coalesce(F.col(c).cast("double"), F.lit(middle).cast("double"))
-    return df.withColumns(out)
 
+def median_filled(
+    df: DataFrame, columns: Sequence[str], values: Sequence[float | None] | None = None
+) -> DataFrame:
+    """``df`` with nulls of ``columns`` replaced by ``values``, or by the exact median of the column."""
+    values = fill_values(df, columns) if values is None else values
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in zip(columns, values)}
+    return df.withColumns(filled)
 
-def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+
+def scale_values(df: DataFrame, columns: Sequence[str]) -> tuple[tuple[float, float], ...]:
+    """Mean and population deviation of each column; zeros for a column of nulls."""
+    parts = [f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+    facts = df.agg(*parts).first()
+    return tuple((facts[f"m_{i}"] or 0.0, facts[f"s_{i}"] or 0.0) for i in range(len(columns)))
+
+
+def standardised(
+    df: DataFrame, columns: Sequence[str], values: Sequence[tuple[float, float]] | None = None
+) -> DataFrame:
     """``df`` with ``columns`` as (x - mean) / population deviation; a constant column is 0."""
-    facts = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
-    ).first()
+    values = scale_values(df, columns) if values is None else values
     scaled = {}
-    for c in columns:
-        mean, deviation = facts[f"m_{c}"], facts[f"s_{c}"]
+    for c, (mean, deviation) in zip(columns, values):
         scaled[c] = (F.col(c) - F.lit(mean)) / F.lit(deviation) if deviation else F.col(c) * 0.0
     return df.withColumns(scaled)
 
@@ -243,47 +233,20 @@ def group_importance(df: DataFrame, columns: Sequence[str], by: str) -> DataFram
 
 
 def davies_bouldin(seg: Segmentation, latest: DataFrame) -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / distance_ij."""
-    spark = latest.sparkSession
-    centres = seg.centres()
-    table = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(centres)],
-        "segment int, centre array<double>",
-    )
-    gap = F.zip_with(vector_to_array("scaled"), "centre", lambda a, b: (a - b) * (a - b))
-    rows = seg.model.transform(as_doubles(latest, seg.columns))
-    spread = (
-        rows.join(F.broadcast(table), "segment")
-        .groupBy("segment")
-        .agg(F.avg(F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x))).alias("spread"))
-    )
-    # k rows; pairs of centres are model facts, not data.
-    size = {r["segment"]: r["spread"] for r in spread.collect()}
-    value = worst_ratio(size, dict(enumerate(centres)))
-    return spark.createDataFrame(
-        [(seg.k, float(seg.inertia), float(seg.silhouette), float(value))],
-        "k int, inertia double, silhouette double, davies_bouldin double",
+    """Measures of a segmentation over the rows it was fitted on: one row."""
+    measured = group_separation(seg.prepared(latest), seg.columns, "segment")
+    return measured.select(
+        F.lit(seg.k).alias("k"),
+        F.lit(float(seg.inertia)).alias("inertia"),
+        F.lit(float(seg.silhouette)).alias("silhouette"),
+        "davies_bouldin",
     )
 
 
 def segment_importance(seg: Segmentation, latest: DataFrame) -> DataFrame:
-    """Share of each feature in the variance of the cluster centres."""
-    spark = latest.sparkSession
-    centres = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(seg.centres())],
-        "segment int, centre array<double>",
-    )
-    names = F.array(*[F.lit(c) for c in seg.columns])
-    per = (
-        centres.select(F.posexplode("centre").alias("i", "x"))
-        .groupBy("i")
-        .agg(F.var_pop("x").alias("v"))
-    )
-    total = per.agg(F.sum("v").alias("t"))
-    return per.select(
-        F.element_at(names, F.col("i") + 1).alias("feature"),
-        (F.col("v") / total.scalar()).alias("importance"),
-    ).orderBy(F.desc("importance"), "feature")
+    """Share of each feature in the variance of the segments' centres, highest first."""
+    shares = group_importance(seg.prepared(latest), seg.columns, "segment")
+    return shares.orderBy(F.desc("importance"), "feature")
 
 
 def assign_segments(

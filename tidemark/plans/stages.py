@@ -98,7 +98,7 @@ def segment_customers(
     ws.write(clustering.segment_importance(seg, latest), "segment_importance", "csv")
     ws.write(segments.strategy_report(profiles), "segment_strategies", "json")
     ws.write(segments.segment_summary(profiles), "segment_summary", "csv")
-    tables.save_model(seg.model, profiles, ws.at("models/segments"))
+    seg.save(ws.spark, ws.at("models/segments"))
 
 
 def predict_churn(
