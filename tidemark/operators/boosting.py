@@ -235,18 +235,31 @@ class _State:
         return (x >> np.uint64(11)).astype(float) / (1 << 53) < self.rules.row_share
 
 
-def _sums(rows: DataFrame, run, few: bool) -> dict[str, np.ndarray]:
-    """Sums by cell over all rows; the cells are bounded by the model."""
-    parts = rows.mapInArrow(run, "cell long, a double, b double, n double")
-    if not few:
-        parts = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("a", "b", "n")])
-    found = parts.toArrow()
-    return {c: found.column(c).to_numpy() for c in ("cell", "a", "b", "n")}
+def _sums(rows: DataFrame, find, few: bool) -> dict[str, np.ndarray]:
+    """Sums by cell over all rows; the cells are bounded by the model.
 
+    ``find`` makes the cells of one task.  From few tasks they come packed, otherwise Spark adds them up.
+    """
+    names = ("cell", "a", "b", "n")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.stack([c.astype(float) for c in find(batches)])
+        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["cells"])
+
+    def rowwise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in find(batches)], list(names))
+
+    if few:
+        parts = rows.mapInArrow(packed, "cells binary").toArrow().column("cells").to_pylist()
+        table = np.concatenate([np.frombuffer(p).reshape(len(names), -1) for p in parts], axis=1)
+        return {"cell": table[0].astype(int), "a": table[1], "b": table[2], "n": table[3]}
+    parts = rows.mapInArrow(rowwise, "cell long, a double, b double, n double")
+    found = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()
+    return {c: found.column(c).to_numpy() for c in names}
 
-def _cells(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, int)] + [np.empty(0)] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "a", "b", "n"])
+
+def _cells(found: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*found)]
 
 
 def _level_pass(state: _State, trees: list[Tree], chosen: list[np.ndarray], level: int):
@@ -254,7 +267,7 @@ def _level_pass(state: _State, trees: list[Tree], chosen: list[np.ndarray], leve
     first, width = 1 << level, state.inputs * BINS
     size = first * width
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
         sums = [[np.zeros(size) for _ in range(3)] for _ in trees]
         loss = np.zeros((len(trees), 2))
         for block in _blocks(batches):
@@ -263,7 +276,7 @@ def _level_pass(state: _State, trees: list[Tree], chosen: list[np.ndarray], leve
             use = ~held & state.drawn(block["id"])
             for m, how in enumerate(state.objectives):
                 if level == 0 and held.any():
-                    loss[m] += losses(how, y[held], margins[held, m]).sum(), held.sum()
+                    loss[m] += (weight * losses(how, y, margins[:, m]))[held].sum(), weight[held].sum()
                 node = trees[m].leaves(bins[use], trees[m].bin, level)
                 open_ = node >= first
                 own = bins[use][open_]
@@ -277,7 +290,7 @@ def _level_pass(state: _State, trees: list[Tree], chosen: list[np.ndarray], leve
             at = np.flatnonzero(n)
             out.append((at + m * size, g[at], h[at], n[at]))
             out.append((np.array([-1 - m]), loss[m, :1], loss[m, 1:], np.ones(1)))
-        yield _cells(out)
+        return _cells(out)
 
     return run, size
 
@@ -286,7 +299,7 @@ def _leaf_pass(state: _State, trees: list[Tree], grids: list[np.ndarray | None])
     """Weights of residuals by (model, leaf, grid interval), for quantiles."""
     size = (2 << state.depth) * (GRID + 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
         sums = [np.zeros(size) for _ in trees]
         for block in _blocks(batches):
             bins, margins = state.read(block)
@@ -299,7 +312,7 @@ def _leaf_pass(state: _State, trees: list[Tree], grids: list[np.ndarray | None])
                     sums[m] += np.bincount(node * (GRID + 1) + slot, weight[use], size)
         found = [(np.flatnonzero(s), s) for s in sums]
         zero = [(at + m * size, s[at], np.zeros(len(at)), np.zeros(len(at))) for m, (at, s) in enumerate(found)]
-        yield _cells(zero)
+        return _cells(zero)
 
     return run, size
 
