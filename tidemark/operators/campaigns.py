@@ -7,6 +7,7 @@ only one row per customer is ever ordered or moved.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -152,6 +153,149 @@ def _cents(col: Column) -> Column:
     return F.round(col * 100).cast("long")
 
 
+#: Intervals of the rank in which offers are counted, and offers that the driver puts in order itself.
+INTERVALS, SORTED = 256, 10_000
+
+
+@dataclass(frozen=True)
+class _Round:
+    """Offers up to (``a``, ``id``, ``b``) are taken while ``money`` is left; up to ``a`` if ``id`` is None."""
+
+    money: int
+    a: float | None = None  # None: no offer
+    id: object = None
+    b: object = None
+
+    def cells(self) -> Column:
+        values = (self.money, self.a, self.id, self.b)
+        return F.struct(*[F.lit(v).alias(n) for v, n in zip(values, ("money", "a", "id", "b"))])
+
+
+def _best(options: Column, money: Column, rank: str, cost: str, tier: str) -> Column:
+    """The best option that ``money`` can pay, as (a, b, o) with the least a = -rank first."""
+    payable = F.filter(options, lambda o: _cents(o[cost]) <= money)
+    return F.array_min(
+        F.transform(payable, lambda o: F.struct((-o[rank]).alias("a"), o[tier].alias("b"), o.alias("o")))
+    )
+
+
+def _taken(rounds: Mapping[str, Sequence[_Round]], kinds: str, rank: str, cost: str, tier: str, offer: str) -> Column:
+    """The offer that a customer gets in one of the rounds done so far, else null."""
+    done = [
+        (F.lit(name), F.array(*[r.cells() for r in each]).cast(kinds) if each else F.array().cast(kinds))
+        for name, each in rounds.items()
+    ]
+    mine = F.element_at(F.create_map(*[x for pair in done for x in pair]), F.col(SCENARIO))
+
+    def after(got: Column, r: Column) -> Column:
+        o = _best(F.col("options"), r["money"], rank, cost, tier)
+        key = F.struct(F.col("customer_id"), o["b"])
+        upto = (o["a"] < r["a"]) | ((o["a"] == r["a"]) & (r["id"].isNull() | (key <= F.struct(r["id"], r["b"]))))
+        return F.when(got.isNotNull(), got).otherwise(F.when(upto, o))
+
+    return F.aggregate(mine, F.lit(None).cast(offer), after)
+
+
+def _interval(a: Column, edges: Mapping[str, Sequence[float]]) -> Column:
+    """Number of the interval of ``a`` between the scenario's edges; an edge belongs to the lower one."""
+    mine = F.create_map(*[x for n, e in edges.items() for x in (F.lit(n), F.array(*map(F.lit, e)))])
+    return F.size(F.filter(F.element_at(mine, F.col(SCENARIO)), lambda e: e < a))
+
+
+def _cuts(offers: DataFrame, left: Mapping[str, int], edges: Sequence[float]) -> dict[str, tuple[_Round, int, bool]]:
+    """For each scenario how far its money reaches: (round, money spent, whether offers wait).
+
+    Offers are counted by interval of their rank.  Only the interval in which the money
+    ends is looked at closer: cut again, or put in order when it is small or one value.
+    """
+    cuts: dict[str, tuple[_Round, int, bool]] = {}
+    limits = {name: (list(edges), 0, -math.inf, math.inf) for name in left}  # edges, spent before, bounds
+    while limits:
+        inside = F.lit(False)
+        for name, (_, _, low, high) in limits.items():
+            inside = inside | ((F.col(SCENARIO) == name) & (F.col("a") > low) & (F.col("a") <= high))
+        some = offers.where(inside).withColumn("interval", _interval(F.col("a"), {n: x[0] for n, x in limits.items()}))
+        sums = some.groupBy(SCENARIO, "interval").agg(
+            F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"), F.min("a").alias("least"), F.max("a").alias("most")
+        )
+        by: dict[str, list] = {name: [] for name in limits}
+        for r in sums.orderBy(SCENARIO, "interval").collect():  # bounded by INTERVALS
+            by[r[SCENARIO]].append(r)
+        small: dict[str, tuple[int, float, float]] = {}
+        after: dict[str, tuple[list, int, float, float]] = {}
+        for name, rows in by.items():
+            spent, low = limits[name][1], limits[name][2]
+            for r in rows:
+                if spent + r["cents"] > left[name]:
+                    if r["n"] <= SORTED or r["least"] == r["most"]:
+                        small[name] = (spent, low, r["most"])
+                    else:
+                        after[name] = ([], spent, low, r["most"])
+                    break
+                spent, low = spent + r["cents"], r["most"]
+            else:
+                cuts[name] = (_Round(left[name], low if rows else None), spent, False)
+        if after:
+            inside = F.lit(False)
+            for name, (_, _, low, high) in after.items():
+                inside = inside | ((F.col(SCENARIO) == name) & (F.col("a") > low) & (F.col("a") <= high))
+            finer = _edges(offers.where(inside).groupBy(SCENARIO))
+            after = {name: (finer[name], *x[1:]) for name, x in after.items()}
+        for name, (round_, spent) in _ordered_cuts(offers, small, left).items():
+            cuts[name] = (round_, spent, True)
+        limits = after
+    return cuts
+
+
+def _edges(groups) -> dict[str, list[float]]:
+    points = [(i + 1) / INTERVALS for i in range(INTERVALS - 1)]
+    found = groups.agg(F.percentile_approx("a", points, 10 * INTERVALS).alias("e"), F.min("a").alias("least")).collect()
+    # The least value is an edge, so that a hot one leaves the interval above it.
+    return {r[SCENARIO]: sorted({r["least"], *r["e"]}) for r in found}
+
+
+def _ordered_cuts(
+    offers: DataFrame, small: Mapping[str, tuple[int, float, float]], left: Mapping[str, int]
+) -> dict[str, tuple[_Round, int]]:
+    """Where the money ends inside one interval of each scenario."""
+    if not small:
+        return {}
+    inside, money = F.lit(False), []
+    for name, (spent, low, high) in small.items():
+        inside = inside | ((F.col(SCENARIO) == name) & (F.col("a") > low) & (F.col("a") <= high))
+        money += [F.lit(name), F.lit(left[name] - spent)]
+    found = offers.where(inside).select(SCENARIO, "a", "customer_id", "b", "cents")
+    ordered = [SCENARIO, "a", "customer_id", "b"]
+    top = found.limit(SORTED * len(small) + 1).count()
+    if top <= SORTED * len(small):
+        rows, last = found.orderBy(*ordered).collect(), {}
+        spent = {name: x[0] for name, x in small.items()}
+        open_ = set(small)
+        for r in rows:
+            name = r[SCENARIO]
+            if name in open_ and spent[name] + r["cents"] <= left[name]:
+                spent[name] += r["cents"]
+                last[name] = (r["a"], r["customer_id"], r["b"])
+            else:
+                open_.discard(name)
+    else:  # many offers of one rank
+        running = with_running_totals(
+            found, [F.col(c) for c in ordered[1:]], {"spent": F.col("cents")}, within=[SCENARIO]
+        )
+        fits = running.where(F.col("spent") <= F.element_at(F.create_map(*money), F.col(SCENARIO)))
+        key = F.struct("a", "customer_id", "b")
+        ends = fits.groupBy(SCENARIO).agg(F.max(key).alias("last"), F.max("spent").alias("spent")).collect()
+        last = {r[SCENARIO]: tuple(r["last"]) for r in ends}
+        spent = {name: x[0] for name, x in small.items()}
+        for r in ends:
+            spent[r[SCENARIO]] += r["spent"]
+    out = {}
+    for name, (before, low, _) in small.items():
+        cut = _Round(left[name], *last[name]) if name in last else _Round(left[name], low)
+        out[name] = (cut, spent[name])
+    return out
+
+
 def greedy(
     customers: DataFrame,
     budgets: Mapping[str, float],
@@ -173,53 +317,39 @@ def greedy(
     every option dearer than the rest of the money, can never fit later.  So each
     round drops at least one distinct cost, and there are no more rounds than
     distinct costs.
+
+    A round is known by its money and its last offer, so whether and when a customer is
+    served is an expression of the row: nothing is sorted, moved or written between
+    rounds.  The last offer is found by counts (``_cuts``).
     """
+    if not budgets:
+        raise ValueError("no budget given")
     left = {name: round(b * 100) for name, b in budgets.items()}
-    open_rows = customers.withColumn(
-        SCENARIO, F.explode(F.array(*[F.lit(name) for name in left]))
-    )
-    taken: list[DataFrame] = []
+    customers = stage(customers, "customers")
+    option = customers.schema["options"].dataType.elementType
+    tier_type = option[tier].dataType.simpleString()
+    id_type = customers.schema["customer_id"].dataType.simpleString()
+    kinds = f"array<struct<money: bigint, a: double, id: {id_type}, b: {tier_type}>>"
+    offer = f"struct<a: double, b: {tier_type}, o: {option.simpleString()}>"
+    every = F.explode(F.array(*[F.lit(name) for name in left]))
+    ranks = customers.select(F.explode(F.transform("options", lambda o: -o[rank])).alias("a"), F.lit("").alias(SCENARIO))
+    edges = _edges(ranks.groupBy(SCENARIO)).get("", [])
+    rounds: dict[str, list[_Round]] = {name: [] for name in left}
     while left:
-        money = F.create_map(*[x for k, v in left.items() for x in (F.lit(k), F.lit(v))])
-        payable = F.filter(
-            "options", lambda o: _cents(o[cost]) <= F.element_at(money, F.col(SCENARIO))
-        )
-        best = F.array_min(
-            F.transform(
-                payable,
-                lambda o: F.struct((-o[rank]).alias("a"), o[tier].alias("b"), o.alias("o")),
-            )
-        )
-        offers = (
-            open_rows.withColumn("options", payable)
-            .where(F.size("options") > 0)
-            .withColumn("offer", best)
-        )
-        order = [F.col("offer.a"), F.col("customer_id"), F.col("offer.b")]
-        placed = stage(
-            with_running_totals(
-                offers, order, {"spent": _cents(F.col(f"offer.o.{cost}"))}, within=[SCENARIO]
-            ),
-            "offers",
-        )
-        fits = F.col("spent") <= F.element_at(money, F.col(SCENARIO))
-        taken.append(placed.where(fits))
-        # One row per scenario comes back.
-        state = placed.groupBy(SCENARIO).agg(
-            F.coalesce(F.max(F.when(fits, F.col("spent"))), F.lit(0)).alias("spent"),
-            F.count_if(~fits).alias("waiting"),
-        ).collect()
-        left = {
-            r[SCENARIO]: left[r[SCENARIO]] - r["spent"] for r in state if r["waiting"] > 0
-        }
-        open_rows = placed.where(~fits).drop("offer", "spent")
+        served = customers.withColumn(SCENARIO, every).where(F.col(SCENARIO).isin(*left))
+        served = served.where(_taken(rounds, kinds, rank, cost, tier, offer).isNull())
+        money = F.element_at(F.create_map(*[x for k, v in left.items() for x in (F.lit(k), F.lit(v))]), F.col(SCENARIO))
+        best = _best(F.col("options"), money, rank, cost, tier)
+        offers = served.select(SCENARIO, "customer_id", best.alias("offer")).where("offer is not null")
+        cents = _cents(F.col(f"offer.o.{cost}"))
+        offers = offers.select(SCENARIO, "customer_id", "offer.a", "offer.b", cents.alias("cents"))
+        cuts = _cuts(offers, left, edges)
+        for name, (cut, _, _) in cuts.items():
+            rounds[name].append(cut)
+        left = {name: left[name] - spent for name, (_, spent, waits) in cuts.items() if waits}
     rest = [c for c in customers.columns if c != "options"]
-    out = None
-    for part in taken:
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no budget given")
-    return out.select(SCENARIO, *rest, "offer.o.*")
+    result = customers.withColumn(SCENARIO, every).withColumn("offer", _taken(rounds, kinds, rank, cost, tier, offer))
+    return result.where("offer is not null").select(SCENARIO, *rest, "offer.o.*")
 
 
 def allocate_budgets(
