@@ -874,7 +874,7 @@ FROM (SELECT {KEYS}, ln(1 + greatest(actual - 1000, 0)) AS y FROM guesses)"""
     q["clv_churn_adjusted"] = f"""
 SELECT customer_id, {fx('clv_prediction')} AS clv_prediction, {fx('p')} AS churn_probability,
        {fx('clv_prediction * (1 - p)')} AS clv_risk_adjusted
-FROM (SELECT customer_id, clv_prediction, CASE WHEN customer_id % 5 <> 0 THEN churn_probability END AS p FROM scores)"""
+FROM (SELECT customer_id, clv_prediction, churn_probability AS p FROM scores)"""
     q["chart_sample"] = """
 SELECT customer_id, rfm_recency_days FROM scores
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 5000"""

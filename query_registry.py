@@ -590,9 +590,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "churn_training_rows": lambda i: _training(i.activity, i.labels, "churn_label"),
     "clv_training_rows": lambda i: _training(i.activity, i.targets, "clv_target"),
     "clv_log_round_trip": lambda i: tidy(_log_trip(i), 3),
-    "clv_churn_adjusted": lambda i: tidy(
-        prediction.churn_adjusted(i.clv, i.churn.where(F.col("customer_id") % 5 != 0))
-    ),
+    "clv_churn_adjusted": lambda i: tidy(prediction.churn_adjusted(i.clv, i.churn)),
     "snapshot_dates_to_the_end": lambda i: snapshots.snapshot_dates(i.lines, prediction_days=0),
     "snapshot_of_short_range": lambda i: snapshots.snapshot_dates(
         i.lines, observation_days=36500, short_range="latest"

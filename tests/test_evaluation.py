@@ -73,6 +73,21 @@ def test_deciles_are_quantile_bins_of_the_index(spark, n):
     assert got[1]["actual_sum"] == sum(want[1])
 
 
+def test_deciles_split_ties_by_all_keys(spark):
+    """A third of the rows have one prediction, some rows none, and keys repeat in the first column."""
+    rows = [(i // 2, i % 2, float(i), None if i % 17 == 0 else 5.0 if i % 3 == 0 else float(i % 7)) for i in range(211)]
+    df = spark.createDataFrame(rows, "a long, b int, actual double, predicted double")
+    got = {r["decile"]: (r["count"], r["actual_sum"]) for r in evaluation.decile_analysis(df, key=("a", "b")).collect()}
+    order = sorted(rows, key=lambda r: (float("inf") if r[3] is None else -r[3], r[0], r[1]))
+    want = {}
+    for i, r in enumerate(order):
+        d = max(1, math.ceil(10 * i / 210))
+        n, total = want.get(d, (0, 0.0))
+        want[d] = (n + 1, total + r[2])
+    assert got == want
+    assert evaluation.decile_analysis(df.where("false"), key=("a", "b")).collect() == []
+
+
 def test_risk_levels_and_value_bands(spark):
     df = spark.createDataFrame(
         [(0.0, 0.0), (0.3, 100.0), (0.5, 300.0), (0.7, 500.0), (1.0, 500.01)], "p double, v double"

@@ -170,6 +170,13 @@ def test_band_covers_known_noise(spark):
     assert 0.75 < prediction.coverage(scored).first()["coverage"] < 0.85
 
 
+def test_customers_without_a_churn_score_stay(spark):
+    clv = spark.createDataFrame([(1, 10.0), (2, 20.0)], "customer_id long, clv_prediction double")
+    churn = spark.createDataFrame([(1, 0.25)], "customer_id long, churn_probability double")
+    got = {r["customer_id"]: r["clv_risk_adjusted"] for r in prediction.churn_adjusted(clv, churn).collect()}
+    assert got == {1: 7.5, 2: None}
+
+
 def test_segments_of_separate_groups(spark):
     df = spark.range(90).select(
         F.col("id").alias("customer_id"),

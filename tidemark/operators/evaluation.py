@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import percent, ratio, right_closed_bands
 from tidemark.functions.ordering import with_position, with_running_totals
 from tidemark.functions.quantiles import kth_values
+from tidemark.functions.staging import stage
 
 # Decision thresholds .10, .15 ... .85, and upper edges of the bands.
 THRESHOLDS = tuple(round(0.10 + 0.05 * i, 2) for i in range(16))
@@ -323,6 +325,37 @@ def regression_metrics(
     )
 
 
+def _after_cuts(rows: DataFrame, shares: Sequence[float], key: Sequence[str]) -> list[Column]:
+    """For each share of the row index, whether a row comes after it in the order of ``v`` and ``key``.
+
+    The cuts are exact order statistics, found by counting; only rows that tie with a cut
+    that splits them are put in order by their keys.
+    """
+    n = rows.count()
+    ranks = [math.floor(round(p * (n - 1), 6)) for p in shares]
+    values = kth_values(rows, F.col("v"), ranks) if n else {}
+    counts = [
+        f
+        for i, r in enumerate(ranks if n else [])
+        for f in (F.count_if(F.col("v") < values[r]).alias(f"below{i}"), F.count_if(F.col("v") == values[r]).alias(f"same{i}"))
+    ]
+    seen = rows.agg(F.lit(0).alias("zero"), *counts).first()
+    out = []
+    for i, r in enumerate(ranks):
+        if not n:
+            out.append(F.lit(False))
+            continue
+        after = F.col("v") > values[r]
+        if r + 1 < seen[f"below{i}"] + seen[f"same{i}"]:
+            ties = rows.where(F.col("v") == values[r]).select(*key)
+            ties = with_position(ties, [F.col(k) for k in key])
+            last = ties.where(F.col("position") == r + 1 - seen[f"below{i}"]).first()
+            cut = F.struct(*[F.lit(last[k]).cast(rows.schema[k].dataType).alias(k) for k in key])
+            after = after | ((F.col("v") == values[r]) & (F.struct(*key) > cut))
+        out.append(after)
+    return out
+
+
 def decile_analysis(
     scored: DataFrame,
     actual: str = "actual",
@@ -334,16 +367,16 @@ def decile_analysis(
     Deciles are quantile bins of the row index (not equal counts), so the row
     at index i of n falls in ceil(10 i / (n - 1)).
     """
-    ordered = with_position(
-        scored.select(
-            *key, F.col(actual).alias("actual"), F.col(predicted).alias("predicted")
-        ),
-        [F.desc("predicted"), *[F.col(k) for k in key]],
+    # Best first; a null prediction comes last.
+    place = F.coalesce(-F.col(predicted).cast("double"), F.lit(float("inf")))
+    rows = scored.select(
+        *key, F.col(actual).alias("actual"), F.col(predicted).alias("predicted"), place.alias("v")
     )
-    n = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
-    index = (F.col("position") - 1) * 10
-    decile = F.greatest(F.lit(1), F.ceil(index / F.greatest(n - 1, F.lit(1)))).cast("int")
-    stats = ordered.groupBy(decile.alias("decile")).agg(
+    rows = stage(rows, "deciles")  # the cuts are found in several cheap scans
+    decile = F.lit(1)
+    for after in _after_cuts(rows, [d / 10 for d in range(1, 10)], key):
+        decile = decile + after.cast("int")
+    stats = rows.groupBy(decile.alias("decile")).agg(
         F.sum("actual").alias("actual_sum"),
         F.avg("actual").alias("actual_mean"),
         F.count(F.lit(1)).alias("count"),

@@ -90,32 +90,46 @@ def temporal_consistency(
     Independent of the pane aggregation on purpose: plain window bounds on the
     exact purchase times, one row per snapshot with the number of disagreements.
     """
-    # Lines of one customer and instant are one row before windows repeat them.
-    times = lines.groupBy("CustomerID", "InvoiceDate").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("Revenue").alias("revenue")
-    )
-    snaps = features.select("snapshot_date").distinct()
     reach = _days(observation_days)
-    # Bounded by the number of snapshots; each line meets the month-keyed few near it.
-    span_months = observation_days // 28 + 2
-    month = F.year("snapshot_date") * 12 + F.month("snapshot_date")
-    near = snaps.select(
-        "snapshot_date",
-        F.explode(F.sequence(month - F.lit(span_months), month)).alias("month_no"),
+    bounds = features.select("snapshot_date").distinct().select(
+        F.unix_micros("snapshot_date").alias("to"),
+        F.unix_micros(F.col("snapshot_date") - reach).alias("from"),
     )
-    again = (
-        times.withColumn("month_no", F.year("InvoiceDate") * 12 + F.month("InvoiceDate"))
-        .join(F.broadcast(near), "month_no")
-        .where(
-            F.col("InvoiceDate").between(F.col("snapshot_date") - reach, F.col("snapshot_date"))
-        )
-        .groupBy(F.col("CustomerID").alias("customer_id"), "snapshot_date")
-        .agg(
-            F.sum("n").alias("n_again"),
-            F.sum("revenue").alias("revenue_again"),
-            F.max("InvoiceDate").alias("last_used"),
-        )
+    windows = sorted((r["from"], r["to"]) for r in bounds.collect())  # one row for each snapshot
+    # Time is cut before the start and after the end of each window; a line is added up under the
+    # number of cuts before it, so it is counted once, however many windows hold it.
+    cuts = sorted([(lo, 0) for lo, _ in windows] + [(hi, 1) for _, hi in windows])
+    at = F.unix_micros("InvoiceDate")
+    starts, ends = (F.array(*[F.lit(c).cast("long") for c, k in cuts if k == kind]) for kind in (0, 1))
+    passed = F.size(F.filter(starts, lambda c: c <= at)) + F.size(F.filter(ends, lambda c: c < at))
+    parts = lines.groupBy(F.col("CustomerID").alias("customer_id"), passed.alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Revenue").alias("revenue"), F.max("InvoiceDate").alias("last")
+    )
+    # At most one part for each cut.
+    held = parts.groupBy("customer_id").agg(F.collect_list(F.struct("part", "n", "revenue", "last")).alias("parts"))
+    places = F.array(
+        *[
+            F.struct(
+                F.timestamp_micros(F.lit(hi)).alias("snapshot_date"),
+                F.lit(cuts.index((lo, 0)) + 1).alias("first"),
+                F.lit(cuts.index((hi, 1))).alias("last"),
+            )
+            for lo, hi in windows
+        ]
     )
+
+    def window(w: Column) -> Column:
+        """The parts inside a window, added up."""
+        inside = F.filter("parts", lambda p: (p["part"] >= w["first"]) & (p["part"] <= w["last"]))
+        return F.struct(
+            w["snapshot_date"].alias("snapshot_date"),
+            F.aggregate(inside, F.lit(0).cast("long"), lambda s, p: s + p["n"]).alias("n_again"),
+            F.aggregate(inside, F.lit(0.0), lambda s, p: s + p["revenue"]).alias("revenue_again"),
+            F.array_max(F.transform(inside, lambda p: p["last"])).alias("last_used"),
+        )
+
+    found = F.filter(F.transform(places, window), lambda x: x["n_again"] > 0)
+    again = held.select("customer_id", F.inline(found))
     both = features.select(
         "customer_id", "snapshot_date", "rfm_frequency_count", "rfm_monetary_total"
     ).join(again, ["customer_id", "snapshot_date"], "full")
