@@ -624,6 +624,7 @@ def _qa(name: str, ok: str, message: str, source: str) -> str:
     )
 
 
+R2 = "1 - sum((actual - predicted) * (actual - predicted)) / (var_pop(actual) * count(*))"
 QA = " UNION ALL ".join(
     [
         _qa("Cleaned data has rows", "n > 0", f"'Found ' || {num('n')} || ' rows'", "(SELECT count(*) AS n FROM clean)"),
@@ -639,6 +640,8 @@ QA = " UNION ALL ".join(
         _qa("Has churn probabilities", "true", "'churn_probability column present'", "(SELECT 1)"),
         _qa("Probabilities in [0, 1]", "v = n", "v || '/' || n || ' valid'",
             "(SELECT count(*) AS n, count(*) FILTER (WHERE churn_probability BETWEEN 0 AND 1) AS v FROM scores)"),
+        _qa("ROC AUC > 0.5", "a > 0.5", f"'ROC AUC: ' || {dec('a', 4)}", f"(SELECT {AUC} AS a)"),
+        _qa("R² score reasonable", "r BETWEEN -1 AND 1", f"'R²: ' || {dec('r', 4)}", f"(SELECT {R2} AS r FROM guesses)"),
         _qa("Has clv_prediction column", "true", "'clv_prediction column present'", "(SELECT 1)"),
         _qa("CLV predictions non-negative", "v = n", "v || '/' || n || ' predictions >= 0'",
             "(SELECT count(*) AS n, count(*) FILTER (WHERE clv_prediction >= 0) AS v FROM scores)"),
@@ -733,6 +736,16 @@ SELECT transaction_type, count(*) AS lines, {fx('sum(AbsQuantity)', 2)} AS abs_q
     q["dq_duplicates"] = "SELECT * FROM duplicate_counts"
     q["dq_customers"] = "SELECT * FROM customer_counts"
     q["dq_report"] = "SELECT * FROM dq"
+    q["quality_summary"] = f"""
+SELECT 'validation' AS section, "check" AS item, status, CAST(NULL AS DOUBLE) AS value FROM dq
+UNION ALL
+SELECT 'cleaning', item, NULL, value
+FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({q["cleaning_stats"]})) ON COLUMNS(*) INTO NAME item VALUE value)
+UNION ALL
+SELECT 'features', item, NULL, value FROM (
+  UNPIVOT (SELECT (SELECT count(DISTINCT customer_id) FROM obs)::DOUBLE AS n_customers,
+                  (SELECT count(DISTINCT snapshot_date) FROM obs)::DOUBLE AS n_snapshots, 36::DOUBLE AS n_features)
+  ON COLUMNS(*) INTO NAME item VALUE value)"""
     q["dq_summary"] = """
 SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed,
        count(*) FILTER (WHERE status = 'FAIL') AS failed,
@@ -927,7 +940,7 @@ FROM scores WHERE risk_level IS NOT NULL GROUP BY risk_level"""
     q["regression_metrics"] = f"""
 SELECT {fx('sqrt(avg((actual - predicted) * (actual - predicted)))', 2)} AS rmse,
        {fx('avg(abs(actual - predicted))', 2)} AS mae,
-       {fx('1 - sum((actual - predicted) * (actual - predicted)) / (var_pop(actual) * count(*))', 2)} AS r2_score,
+       {fx(R2, 2)} AS r2_score,
        {fx('100 * avg(abs(actual - predicted) / actual) FILTER (WHERE actual > 0)', 2)} AS mape,
        {fx('100 * abs(sum(actual) - sum(predicted)) / sum(actual)', 2)} AS portfolio_error_pct,
        {fx('sum(actual)', 2)} AS total_actual_clv, {fx('sum(predicted)', 2)} AS total_predicted_clv

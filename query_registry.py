@@ -303,6 +303,13 @@ def _report(i: Inputs) -> DataFrame:
     return quality.validation_report(i.raw).drop("details")
 
 
+def _quality_summary(i: Inputs) -> DataFrame:
+    found = reports.quality_summary(
+        quality.validation_report(i.raw), i.plan.statistics(), tables.feature_metadata(i.features)
+    )
+    return tidy(found.where(F.col("item") != "created_at"))  # the time of the run
+
+
 def _pit_window(i: Inputs) -> DataFrame:
     """Lines and customers inside the observation window of every snapshot."""
     a = i.activity
@@ -403,7 +410,9 @@ def _checks(i: Inputs) -> DataFrame:
             "strategies": segments.strategy_report(i.profiles),
             "labels": i.labels,
             "churn": i.churn,
+            "churn_metrics": evaluation.evaluate_binary(i.label_scores, 0.5),
             "clv": i.clv,
+            "clv_metrics": evaluation.regression_metrics(i.guesses),
             "allocation": i.tight,
             "plan": plan,
             "portfolio": i.portfolio,
@@ -502,6 +511,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_duplicates": lambda i: quality.duplicate_counters(i.raw),
     "dq_customers": lambda i: quality.customer_counters(i.raw),
     "dq_report": _report,
+    "quality_summary": _quality_summary,
     "dq_summary": lambda i: quality.validation_summary(quality.validation_report(i.raw)),
     # snapshots
     "snapshot_dates": lambda i: snapshots.snapshot_dates(i.lines),

@@ -84,6 +84,41 @@ def test_feature_store_replaces_only_its_snapshots(spark, tmp_path):
     assert meta["snapshot_dates"] == ["2020-01-31", "2020-02-29"]
 
 
+def test_versions_are_checked_before_they_are_published(spark, tmp_path):
+    def snap(value, n=3):
+        return spark.range(n).select(
+            F.col("id").alias("customer_id"), F.lit(value).alias("x"),
+            F.to_timestamp(F.lit("2020-01-31 08:26:00")).alias("snapshot_date"),
+        )
+
+    path = str(tmp_path / "store")
+    with pytest.raises(ValueError, match="no such version"):
+        tables.load_feature_version(spark, path)
+    assert tables.save_feature_version(snap(1.0), path) == 1
+    for bad, said in (
+        (snap(float("nan")), "finite: 3"),
+        (snap(2.0).unionByName(snap(2.0, 1)), "snapshot: 1"),
+        (snap(2.0).withColumn("customer_id", F.lit(None).cast("long")), "customer_id present: 3"),
+        (snap(2.0, 0), "rows present"),
+    ):
+        with pytest.raises(tables.InvalidFeatures, match=said):
+            tables.save_feature_version(bad, path)
+    assert tables.load_feature_version(spark, path).agg(F.sum("x")).first()[0] == 3.0
+    assert tables.save_feature_version(snap(2.0, 5), path) == 2
+    assert [tables.load_feature_version(spark, path, v).agg(F.sum("x")).first()[0] for v in (None, 1, 2)] == [10.0, 3.0, 10.0]
+    newest = tables.feature_versions(spark, path).orderBy(F.desc("version")).first()
+    assert (newest["version"], newest["n_rows"], newest["n_customers"], newest["n_snapshots"]) == (2, 5, 5, 1)
+    assert [(s["feature"], s["count"], s["mean"], s["max"]) for s in newest["statistics"]] == [("x", 5, 2.0, 2.0)]
+
+
+def test_a_latin_file_may_hold_bytes_that_are_valid_utf8(spark, tmp_path):
+    rows = "1,A,caf\xe9,6,12/1/2010 8:26,2.55,17850,France\n2,B,\xc3\xa9,6,12/1/2010 8:26,2.55,17850,France\n"
+    (tmp_path / "latin.csv").write_bytes((HEADER + rows).encode("iso-8859-1"))
+    (tmp_path / "utf.csv").write_bytes((HEADER + "3,C,\xe9,6,12/1/2010 8:26,2.55,17850,France\n").encode())
+    got = {r["InvoiceNo"]: r["Description"] for r in transactions.read_transactions_csv(spark, str(tmp_path)).collect()}
+    assert got == {"1": "caf\xe9", "2": "\xc3\xa9", "3": "\xe9"}
+
+
 def test_campaign_lists(spark, tmp_path):
     rows = [(i, "Basic Email" if i % 2 else "No Action", 0.5, 10.0, float(i)) for i in range(20)]
     df = spark.createDataFrame(

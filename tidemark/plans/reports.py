@@ -367,3 +367,26 @@ def financial_impact(churn: DataFrame, clv: DataFrame, portfolio: DataFrame) ->
         *[F.struct(F.lit(k).alias("category"), v.alias("amount")) for k, v in bars]
     )
     return impact_figures(churn, clv, portfolio).select(F.inline(table))
+
+
+def quality_summary(report: DataFrame, statistics: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Validation report, cleaning counters and feature-store facts as one table of items."""
+    none = F.lit(None)
+    checks = report.select(
+        F.lit("validation").alias("section"), F.col("check").alias("item"), "status", none.cast("double").alias("value")
+    )
+
+    def items(section: str, row: DataFrame, names: list[str]) -> DataFrame:
+        cells = [F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in names]
+        found = row.select(F.inline(F.array(*cells)))
+        return found.select(F.lit(section).alias("section"), "item", none.cast("string").alias("status"), "value")
+
+    counters = items("cleaning", statistics, statistics.columns)
+    facts = items("features", metadata, ["n_customers", "n_snapshots", "n_features"])
+    made = metadata.select(
+        F.lit("features").alias("section"),
+        F.lit("created_at").alias("item"),
+        F.col("created_at").cast("string").alias("status"),
+        none.cast("double").alias("value"),
+    )
+    return checks.unionByName(counters).unionByName(facts).unionByName(made)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import any_of
+
 # Everything is read as text; cleaning parses it and counts what does not parse.
 RAW_CSV_SCHEMA = T.StructType(
     [
@@ -27,10 +29,10 @@ RAW_CSV_SCHEMA = T.StructType(
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan of files in UTF-8 or ISO-8859-1, also of both in one folder.
 
-    Every byte is a character of ISO-8859-1, so that reading loses nothing; a
-    value whose bytes are valid UTF-8 is then decoded as such.  This is lazy
-    and per value: no scan happens here, and a file in one encoding never
-    changes how another one is read.
+    A file is UTF-8 if all its values are valid UTF-8, else ISO-8859-1; one file never
+    changes how another one is read.  Every byte is a character of ISO-8859-1, so that
+    reading loses nothing before that is known.  Nothing is scanned here: a query reads
+    the files once to find those that are not UTF-8 (a row for each of these) and once for itself.
     """
     # Columns are matched by header name, so extra or reordered columns are fine.
     raw = (
@@ -40,10 +42,18 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("inferSchema", False)
         .csv(path)
     )
+    names = raw.columns
+    filed = raw.select("*", F.col("_metadata.file_path").alias("__file"))
+
+    def as_read(name: str) -> Column:
+        return F.encode(F.col(f"`{name}`"), "ISO-8859-1")
+
+    wrong = any_of([~F.coalesce(F.is_valid_utf8(as_read(c)), F.lit(True)) for c in names])
+    latin = filed.where(wrong).select("__file").distinct().withColumn("__latin", F.lit(True))
+    marked = filed.join(F.broadcast(latin), "__file", "left")
 
     def decoded(name: str) -> Column:
-        value = F.encode(F.col(f"`{name}`"), "ISO-8859-1")
-        return F.when(F.is_valid_utf8(value), F.decode(value, "UTF-8")).otherwise(F.col(f"`{name}`"))
+        return F.when(F.col("__latin").isNull(), F.decode(as_read(name), "UTF-8")).otherwise(F.col(f"`{name}`"))
 
     def plain(name: str) -> str:
         try:
@@ -51,7 +61,7 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
         except UnicodeError:
             return name
 
-    return raw.select(*[decoded(c).alias(plain(c)) for c in raw.columns])
+    return marked.select(*[decoded(c).alias(plain(c)) for c in names])
 
 
 def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
