@@ -52,7 +52,7 @@ from tidemark.llm.text import checked, whole
 
 WINDOW, ROUNDS = 13, 3
 #: Bits of the filter, and bytes of text that are parsed together.
-FILTER, PORTION = 1 << 27, 4 << 20
+FILTER, PORTION = 1 << 27, 1 << 20
 _U = np.uint64
 
 
