@@ -128,6 +128,33 @@ def test_all_features_equal_the_definitions(built):
                 assert have[c][name] == pytest.approx(value, rel=1e-9, abs=1e-7), (snap, c, name)
 
 
+def test_a_customer_of_a_third_of_the_lines_is_dealt_to_several_tasks(make_lines, make_snapshots, built, monkeypatch):
+    rows, _, _ = built
+    hot = [(7, 9000 + i % 90, i % 40, f"2020-0{1 + i % 2}-{1 + i % 27:02} 10:00:00", 1 + i % 9, 2) for i in range(len(rows) // 2)]
+    lines, snaps = make_lines(rows + hot), make_snapshots(*SNAPS)
+
+    def found():
+        df = features.customer_features(lines, snaps).select(
+            "customer_id", "snapshot_date", "unique_products_count", "product_diversity_hhi", "avg_basket_size", "std_basket_size"
+        )
+        return {(r["customer_id"], r["snapshot_date"]): tuple(r)[2:] for r in df.collect()}
+
+    whole = found()
+    monkeypatch.setattr(features, "HEAVY_LINES", 25)
+    split = found()
+    assert set(whole) == set(split)
+    for k, v in whole.items():
+        assert split[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+    calendar = features.calendar_for(snaps)
+    panes = features.into_panes(features.by_customer(lines), calendar, ["customer_id", "StockCode"], [F.count(F.lit(1)).alias("n")])
+    tasks = features._dealt(panes, lines, "StockCode").where("customer_id = 7").select(F.spark_partition_id(), "share").distinct()
+    assert tasks.select("share").distinct().count() > 3
+    plan = features.product_features(lines, calendar)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" in plan and "StockCode, snapshot_date" not in "".join(
+        x for x in plan.splitlines() if "Exchange" in x
+    )
+
+
 def test_window_bounds_are_inclusive(built):
     _, _, got = built
     edge = {r["snapshot_date"]: r for r in got if r["customer_id"] == 50}

@@ -278,12 +278,31 @@ def activity_features(
 # --- products and baskets -----------------------------------------------------
 
 
+#: Lines of a customer that one task takes; the products or invoices of a larger one are dealt to several.
+HEAVY_LINES = 1_000_000
+
+
+def _dealt(panes: DataFrame, lines: DataFrame, part: str) -> DataFrame:
+    """``panes`` placed by customer and ``share``: 0, or one of several for a customer of many lines.
+
+    Customers over HEAVY_LINES are at most one for each so many lines, so few that they are
+    broadcast.  What is repeated by snapshot afterwards stays in its partition.
+    """
+    counts = by_customer(lines).groupBy("customer_id").agg(F.count(F.lit(1)).alias("lines"))
+    heavy = counts.where(F.col("lines") > HEAVY_LINES).select(
+        "customer_id", F.ceil(F.col("lines") / HEAVY_LINES).alias("shares")
+    )
+    share = F.pmod(F.xxhash64(part), F.coalesce("shares", F.lit(1).cast("long")))
+    dealt = panes.join(F.broadcast(heavy), "customer_id", "left").withColumn("share", share)
+    return spread_by(dealt.drop("shares"), "customer_id", "share")
+
+
 def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
     """Distinct products and 1 - sum of squared line shares (diversity).
 
-    After the first aggregation a customer is at most products x panes rows, so
-    these are placed by customer alone: the rows repeated by snapshot are
-    counted per product and then per customer where they are, without a shuffle.
+    A customer's panes lie together, or by ranges of products for a heavy one.  The rows
+    repeated by snapshot are counted per product and then per customer where they are; only
+    one row for each customer, share and snapshot is merged.
     """
     panes = into_panes(
         by_customer(lines).select("customer_id", "StockCode", "InvoiceDate"),
@@ -292,22 +311,25 @@ def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
         [F.count(F.lit(1)).alias("n")],
     )
     per_product = (
-        over_snapshots(spread_by(panes, "customer_id"), calendar)
+        over_snapshots(_dealt(panes, lines, "StockCode"), calendar)
         .where("in_observation")
-        .groupBy("customer_id", "StockCode", "snapshot_date")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("customer_id", "share", "StockCode", "snapshot_date")
+        .agg(F.sum("n").cast("double").alias("n"))
+    )
+    n = F.col("n")
+    parts = per_product.groupBy("customer_id", "share", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("products"), F.sum(n).alias("n"), F.sum(n * n).alias("squares")
     )
-    n = F.col("n").cast("double")
-    return per_product.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("unique_products_count"),
-        (1 - F.sum(n * n) / (F.sum(n) * F.sum(n))).alias("product_diversity_hhi"),
+    return parts.groupBy(*KEYS).agg(
+        F.sum("products").alias("unique_products_count"),
+        (1 - F.sum("squares") / (F.sum(n) * F.sum(n))).alias("product_diversity_hhi"),
     )
 
 
 def basket_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
     """Mean and sample deviation of the absolute net quantity per invoice.
 
-    One customer may have most of all invoices; they are placed by invoice.
+    Placed and merged like products: a heavy customer's invoices are dealt to several tasks.
     """
     panes = into_panes(
         by_customer(lines).select("customer_id", "InvoiceNo", "InvoiceDate", "Quantity"),
@@ -316,14 +338,31 @@ def basket_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
         [F.sum("Quantity").alias("quantity")],
     )
     per_invoice = (
-        over_snapshots(spread_by(panes, "customer_id", "InvoiceNo"), calendar)
+        over_snapshots(_dealt(panes, lines, "InvoiceNo"), calendar)
         .where("in_observation")
-        .groupBy("customer_id", "InvoiceNo", "snapshot_date")
+        .groupBy("customer_id", "share", "InvoiceNo", "snapshot_date")
         .agg(F.abs(F.sum("quantity")).alias("size"))
     )
-    return per_invoice.groupBy(*KEYS).agg(
-        F.avg("size").alias("avg_basket_size"),
-        F.coalesce(F.stddev_samp("size"), F.lit(0.0)).alias("std_basket_size"),
+    n, mean = F.col("n"), F.col("mean")
+    parts = per_invoice.groupBy("customer_id", "share", "snapshot_date").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.avg("size").alias("mean"),
+        (F.var_pop("size") * F.count("size")).alias("off"),
+    )
+    merged = parts.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("shares"),
+        F.sum(n).alias("n"),
+        F.sum(n * mean).alias("total"),
+        F.sum(n * mean * mean).alias("squares"),
+        F.sum("off").alias("off"),
+    )
+    # Deviations inside the shares, and of the shares' means; there are none of the latter in one share.
+    between = F.when(F.col("shares") > 1, F.greatest(F.col("squares") - F.col("total") * F.col("total") / n, F.lit(0.0)))
+    off = F.col("off") + F.coalesce(between, F.lit(0.0))
+    return merged.select(
+        *KEYS,
+        (F.col("total") / n).alias("avg_basket_size"),
+        F.coalesce(F.sqrt(F.try_divide(off, n - 1)), F.lit(0.0)).alias("std_basket_size"),
     )
 
 
