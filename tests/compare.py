@@ -94,7 +94,7 @@ def main(folder: str, names: list[str]) -> int:
             else:
                 why = f"rows only: {df.count()}"
         except Exception as e:  # noqa: BLE001
-            why = f"ERROR {type(e).__name__}: {str(e)[:4000]}"
+            why = f"ERROR {type(e).__name__}: {str(e)[:30000]}"
         ok = why is None or why.startswith("rows only")
         failed += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name} {time.time() - t:.1f}s {why or ''}", flush=True)

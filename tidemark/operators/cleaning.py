@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import percent
@@ -178,37 +178,14 @@ def derive(df: DataFrame) -> DataFrame:
     return with_transaction_type(with_absolutes(with_date_parts(with_revenue(df))))
 
 
-def _raw_counts(rules: CleaningRules) -> dict[str, Column]:
-    """Counters over all raw rows, in order."""
-    c = F.col
-    sound = c("reject_reason").isNull()
-    charged = {
-        "null_customer_removed": "null_customer",
-        "null_stockcode_removed": "null_stockcode",
-        "null_description_removed": "null_description",
-        "null_date_removed": "null_date",
-        "numeric_conversion_failed": "bad_number",
-    }
-    return {
-        "initial_rows": F.count(F.lit(1)),
-        **{name: F.count_if(c("reject_reason") == reason) for name, reason in charged.items()},
-        # Flags and the zero-quantity count are taken before the price rule.
-        "cancellations_flagged": F.count_if(sound & c("is_cancellation")),
-        "returns_flagged": F.count_if(sound & c("is_return")),
-        "invalid_price_removed": F.count_if(sound & (c("UnitPrice") < rules.min_unit_price)),
-        "zero_quantity_removed": F.count_if(sound & (c("Quantity") == 0)),
-    }
-
-
 @dataclass(frozen=True)
 class Cleaning:
-    """A planned cleaning: all tagged rows, the staged valid ones, the limits."""
+    """A planned cleaning: all tagged rows as staged, the valid ones of them, the limits."""
 
     tagged: DataFrame
     valid: DataFrame
     limits: OutlierLimits
     rules: CleaningRules
-    counts: dict[str, int]
 
     @property
     def inliers(self) -> DataFrame:
@@ -218,18 +195,33 @@ class Cleaning:
         return derive(keep_regular_customers(self.inliers, too_few_rows(self.inliers, self.rules)))
 
     def statistics(self) -> DataFrame:
-        """One row of counters; every count is charged to the rule that removed the row.
-
-        Counts of raw rows come from the write of the valid ones, so the raw rows are not read again.
-        """
+        """One row of counters; every count is charged to the rule that removed the row."""
         c, lim = F.col, self.limits
-        in_price = price_ok(lim)
-        limited = self.valid.agg(
-            F.count_if(~in_price).alias("price_outliers_removed"),
+        sound = c("reject_reason").isNull()
+        rule_ok = sound & business_valid(self.rules)
+        in_price = rule_ok & price_ok(lim)
+        in_quantity = in_price & quantity_ok(lim)
+
+        def rejected(reason: str) -> Column:
+            return F.count_if(c("reject_reason") == reason)
+
+        scan = self.tagged.agg(
+            F.count(F.lit(1)).alias("initial_rows"),
+            rejected("null_customer").alias("null_customer_removed"),
+            rejected("null_stockcode").alias("null_stockcode_removed"),
+            rejected("null_description").alias("null_description_removed"),
+            rejected("null_date").alias("null_date_removed"),
+            rejected("bad_number").alias("numeric_conversion_failed"),
+            # Flags and the zero-quantity count are taken before the price rule.
+            F.count_if(sound & c("is_cancellation")).alias("cancellations_flagged"),
+            F.count_if(sound & c("is_return")).alias("returns_flagged"),
+            F.count_if(sound & (c("UnitPrice") < self.rules.min_unit_price)).alias(
+                "invalid_price_removed"
+            ),
+            F.count_if(sound & (c("Quantity") == 0)).alias("zero_quantity_removed"),
+            F.count_if(rule_ok & ~price_ok(lim)).alias("price_outliers_removed"),
             F.count_if(in_price & ~quantity_ok(lim)).alias("quantity_outliers_removed"),
         )
-        observed = [F.lit(self.counts[name]).cast("long").alias(name) for name in _raw_counts(self.rules)]
-        scan = limited.select(*observed, *limited.columns)
         people = (
             self.inliers.where(c("CustomerID").isNotNull())
             .groupBy("CustomerID")
@@ -258,13 +250,16 @@ class Cleaning:
 
 
 def plan_cleaning(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaning:
-    """Write the valid rows, find the scalar limits; the cleaned rows stay lazy."""
-    tagged = with_flags(typed(raw, rules), rules)
+    """Write the tagged rows once, find the scalar limits; the cleaned rows stay lazy.
+
+    The raw rows are read once: valid rows and all counters come from the written ones.  (An
+    ``Observation`` of the write would do for the counters, but after one the session can't be
+    serialised, and with it no classifier that keeps its training summary.)
+    """
+    tagged = stage(with_flags(typed(raw, rules), rules), "tagged")
     sound = F.col("reject_reason").isNull() & business_valid(rules)
-    seen = Observation("cleaning")
-    watched = tagged.observe(seen, *[count.alias(name) for name, count in _raw_counts(rules).items()])
-    valid = stage(watched.where(sound).drop("reject_reason"), "valid")
-    return Cleaning(tagged, valid, outlier_limits(valid, rules), rules, seen.get)
+    valid = tagged.where(sound).drop("reject_reason")
+    return Cleaning(tagged, valid, outlier_limits(valid, rules), rules)
 
 
 def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
