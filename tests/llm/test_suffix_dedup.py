@@ -98,3 +98,70 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert sorted(_result(op4_suffix_dedup(spark, folder))) == sorted(_brute(rows))
+
+
+def _places(text, doc, step=1 << 20):
+    """Anchors of one text as pieces of the kind that tasks send."""
+    data = np.frombuffer(text, np.uint8)
+    for at in range(0, len(data) - 99, step):
+        part = data[at : at + step + 99]
+        a = s.anchors(part, np.array([len(part)]))
+        n = len(a["h"])
+        same = {"doc": np.full(n, doc), "th": np.full(n, 7)}
+        yield {"h": a["h"], "c": a["c"], **same, "lo": a["lo"] + at, "ahead": a["at"] - a["lo"], "more": a["hi"] - a["lo"]}
+
+
+@pytest.mark.parametrize("unit", [b"a", b"abcdefg"])
+def test_long_runs_are_few_places(unit):
+    """Only the first place of each context leaves a slice, however many a run has."""
+    text = unit * (1_000_000 // len(unit))
+    (piece,) = _places(text, 1, 2 << 20)
+    kept, gone = s.firsts(piece)
+    assert len(piece["h"]) > 100_000 and len(kept["h"]) <= 3
+    assert len(kept["h"]) + len(gone["h"]) == len(piece["h"])
+
+
+def test_places_held_do_not_grow_with_copies(monkeypatch):
+    """A text in every piece, and an anchor with ever new contexts."""
+    rng = np.random.default_rng(3)
+    text = bytes(rng.integers(97, 123, 5000, dtype=np.uint8))
+    (copy,) = _places(text, 0)
+    sizes = []
+    real = s.firsts
+    monkeypatch.setattr(s, "firsts", lambda p: sizes.append(len(p["h"])) or real(p))
+
+    def pieces():
+        for doc in range(1, 400):
+            n = 50
+            fresh = {"h": np.full(n, 5, np.uint64), "c": rng.integers(0, 2**63, n).astype(np.uint64)}
+            fresh |= {k: np.full(n, v) for k, v in {"doc": doc, "th": 1, "ahead": 0, "more": 0}.items()}
+            fresh["lo"] = np.arange(n)
+            mine = copy | {"doc": np.full(len(copy["h"]), doc)}
+            yield {k: np.concatenate([mine[k], fresh[k]]) for k in copy}
+
+    found = {"gone": 0, "windows": 0, "edge": 0}
+    for places, what in s.settled(pieces(), 100, 1000):
+        found[what] += len(places["h"])
+    assert max(sizes) < 1000 + 2 * len(copy["h"]) + 200
+    assert found == {"gone": 398 * len(copy["h"]), "windows": 399 * 50, "edge": 0}
+
+
+def test_equal_windows_are_thinned():
+    windows = [b"x" * 100, b"y" * 100, b"x" * 100, b"x" * 100, b"\0" * 100]
+    doc, th, lo = np.array([5, 1, 2, 2, 9]), np.zeros(5, np.int64), np.zeros(5, np.int64)
+    first, again = s.thinned(doc, th, lo, np.frombuffer(b"".join(windows), np.uint8))
+    # The fourth is the third again: one place.
+    assert sorted(first.tolist()) == [1, 2, 4] and again.tolist() == [0]
+
+
+@pytest.mark.parametrize("hot,batch,fold", [(10_000, 2 << 20, 500_000), (5, 2000, 40)])
+def test_skew_against_brute_force(spark, docs, monkeypatch, hot, batch, fold):
+    """Long runs, and a passage that a third of the documents hold in different surroundings."""
+    for name, value in (("HOT", hot), ("BATCH", batch), ("FOLD", fold)):
+        monkeypatch.setattr(s, name, value)
+    rng = random.Random(6)
+    passage = _text(rng, 150)
+    rows = [(k, _text(rng, 120) + (passage if k % 3 == 0 else "") + _text(rng, 120)) for k in range(150)]
+    rows += [(200, "a" * 20_000), (201, "abcdefg" * 2_000), (202, "b" + "a" * 3_000), (203, rows[0][1]), (203, rows[0][1])]
+    got = _result(s.dedup(docs(rows)))
+    assert sorted(map(repr, got)) == sorted(map(repr, _brute(rows)))

@@ -9,8 +9,10 @@ sorts what occurs once.  So equal strings are first brought together:
 1. Anchors.  Every window has one anchor, the run of GRAM bytes of smallest hash
    in it (the first of equal ones).  Equal windows have equal anchors at equal
    places.  The windows of one anchor are neighbours; their union is its context.
-   Only (anchor hash, context hash, place) is shuffled, packed, 2.7 rows per 100 bytes.
+   Of equal (anchor hash, context hash) in SLICE bytes of text only the first place is
+   gathered, packed, at most 2.7 rows per 100 bytes; the others are known to go.
 2. Contexts that occur again whole are removed there and then, all but the first.
+   Places come in pieces and are folded to the first of each context every FOLD rows.
    A context whose anchor has other contexts as well is an edge: it may share
    some of its windows with another.  Nothing else can hold a repeat.
 3. Edges are cut from their texts, dealt to shards by anchor hash, and every
@@ -23,8 +25,9 @@ sorts what occurs once.  So equal strings are first brought together:
 
 Memory is bounded by the batch, not by the shard: Spark's sorted shuffle is the
 disk-backed part.  An anchor with more than HOT distinct contexts (a frequent
-line) is dealt anew, window by window, by a hash of the window, so that no group
-grows with the corpus unless its windows are equal, and those meet as hashes.
+line) is not held but dealt anew, window by window, by a hash of the window.  Equal
+windows are thinned to the first where they are cut, and again for every BATCH
+bytes of one hash.  So no array grows with the number of copies of a text or passage.
 
 Defined results: a null text is empty; texts shorter than WINDOW lose nothing;
 a null key is smaller than any other; of rows with equal key and text the first
@@ -37,10 +40,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +58,8 @@ WINDOW, GRAM = 100, 20
 SPAN = WINDOW - GRAM + 1
 #: Bytes of text per partition, per numpy call, and per sort; distinct contexts of a hot anchor.
 PER_PARTITION, SLICE, BATCH, HOT = 16 << 20, 4 << 20, 2 << 20, 10_000
+#: Places gathered before they are folded to the first of each context.
+FOLD = 500_000
 _NULL = -(2**63)
 _U = np.uint64
 
@@ -256,6 +263,76 @@ def repeats(data: np.ndarray, starts: np.ndarray, rank: np.ndarray, width: int =
     return out
 
 
+# --- first places ---------------------------------------------------------------------
+
+Places = dict[str, np.ndarray]
+
+
+def _joined(parts: list[Places]) -> Places:
+    return {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
+
+
+def _some(places: Places, rows: np.ndarray) -> Places:
+    return {n: v[rows] for n, v in places.items()}
+
+
+def firsts(places: Places) -> tuple[Places, Places]:
+    """The earliest place (doc, th, lo) of each (h, c), in order of h, and the later ones.
+
+    A place that comes twice (repeated rows) is one place.
+    """
+    order = np.lexsort([places[n] for n in ("lo", "th", "doc", "c", "h")])
+    places = _some(places, order)
+
+    def differs(*names: str) -> np.ndarray:
+        other = np.any([places[n][1:] != places[n][:-1] for n in names], axis=0)
+        return np.concatenate([[True], other])[: len(order)]
+
+    new = differs("h", "c")
+    return _some(places, new), _some(places, ~new & differs("doc", "th", "lo"))
+
+
+def settled(pieces: Iterator[Places], hot: int, fold: int) -> Iterator[tuple[Places, str]]:
+    """Places of one part, each "gone", "edge" or "windows" (an edge to be cut window by window).
+
+    Held are the first places of contexts, of at most ``hot`` contexts for an
+    anchor, and as many new places, or ``fold`` of them.
+    """
+    held: list[Places] = []
+    size, base = 0, 0
+    frequent = np.zeros(0, _U)
+
+    def folded() -> Iterator[tuple[Places, str]]:
+        nonlocal held, size, base, frequent
+        first, again = firsts(_joined(held))
+        _, group, count = np.unique(first["h"], return_inverse=True, return_counts=True)
+        often = (count[group] > hot) | np.isin(first["h"], frequent)
+        frequent = np.union1d(frequent, first["h"][often])
+        held = [_some(first, ~often)]
+        size = base = len(held[0]["h"])
+        yield again, "gone"
+        yield _some(first, often), "windows"
+
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece["h"])
+        if size - base > max(fold, base):
+            yield from folded()
+    if held:
+        yield from folded()
+        _, group, count = np.unique(held[0]["h"], return_inverse=True, return_counts=True)
+        yield _some(held[0], count[group] > 1), "edge"
+
+
+def thinned(doc: np.ndarray, th: np.ndarray, lo: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the earliest of equal windows, and of the later ones; ``data`` has WINDOW bytes for each."""
+    windows = np.ascontiguousarray(data).view(np.dtype((np.void, WINDOW)))
+    group = np.unique(windows, return_inverse=True)[1]
+    row = np.arange(len(doc))
+    first, again = firsts({"h": group, "c": np.zeros_like(group), "doc": doc, "th": th, "lo": lo, "row": row})
+    return first["row"], again["row"]
+
+
 # --- the steps on Spark -------------------------------------------------------------
 
 _PACKED = [("h", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("th", "<i8"), ("lo", "<i4"), ("ahead", "u1"), ("more", "u1")]
@@ -300,14 +377,20 @@ def _anchor_rows(docs: DataFrame, parts: int) -> DataFrame:
                 "h": a["h"], "c": a["c"], "doc": of(0), "th": of(1), "lo": a["lo"] - begin + of(2),
                 "ahead": a["at"] - a["lo"], "more": a["hi"] - a["lo"],
             }
-            part = (a["h"] % _U(parts)).astype(np.int64)
+            kept, gone = firsts(columns)
+            part = (kept["h"] % _U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             part = part[order]
             cuts = np.flatnonzero(np.diff(part)) + 1
-            blobs = [_pack({n: v[rows] for n, v in columns.items()}) for rows in np.split(order, cuts)]
-            firsts = part[np.concatenate([[0], cuts])] if len(part) else part
+            blobs = [_pack(_some(kept, rows)) for rows in np.split(order, cuts) if len(rows)]
+            numbers = part[np.concatenate([[0], cuts])].tolist() if len(part) else []
+            if len(gone["h"]):
+                # What goes need not meet anything: negative parts, spread by place, without hashes.
+                none = np.zeros(len(gone["h"]), _U)
+                numbers.append(-1 - (int(gone["th"][0]) ^ int(gone["doc"][-1])) % parts)
+                blobs.append(_pack(gone | {"h": none, "c": none}))
             return pa.RecordBatch.from_arrays(
-                [pa.array(firsts), pa.array(blobs[: len(firsts)], pa.binary())], ["part", "blob"]
+                [pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"]
             )
 
         for piece in _texts(batches):
@@ -328,43 +411,24 @@ _FOUND = "doc long, th long, lo int, size int, h long, ahead int"
 def _contexts(dealt: DataFrame) -> DataFrame:
     """Spans that go (h null), and edges that are to be sorted (ahead -1: window by window)."""
 
-    def judge(blobs: list[bytes]) -> pa.RecordBatch:
-        cols = [_unpack(b) for b in blobs]
-        h, c, doc, th, lo, ahead, more = (np.concatenate([x[n] for x in cols]) for n, _ in _PACKED)
-        order = np.lexsort((lo, th, doc, c, h))
-        h, c, doc, th, lo, ahead, more = (x[order] for x in (h, c, doc, th, lo, ahead, more))
-        # Repeated rows (equal key and text) are one here: the first copy must not lose what it shares with the others.
-        other = np.ones(len(h), bool)
-        other[1:] = np.any([x[1:] != x[:-1] for x in (h, c, doc, th, lo)], axis=0)
-        h, c, doc, th, lo, ahead, more = (x[other] for x in (h, c, doc, th, lo, ahead, more))
-        new_h = np.concatenate([[True], h[1:] != h[:-1]])
-        new_c = new_h | np.concatenate([[True], c[1:] != c[:-1]])
-        group = np.cumsum(new_h) - 1
-        kinds = np.bincount(group, weights=new_c)[group]
-        edge = new_c & (kinds > 1)
-        take = ~new_c | edge
-        hashes = np.ma.masked_array(h.view(np.int64), ~edge)[take]
-        place = np.where(kinds > HOT, -1, ahead.astype(np.int32))[take]
+    def rows(p: Places, what: str) -> pa.RecordBatch:
+        n = len(p["h"])
+        ahead = np.full(n, -1, np.int32) if what == "windows" else p["ahead"].astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(doc[take]), pa.array(th[take]), pa.array(lo[take]),
-                pa.array((more[take].astype(np.int32) + WINDOW)),
-                pa.array(hashes.filled(0), mask=np.ma.getmaskarray(hashes)), pa.array(place.astype(np.int32)),
+                pa.array(p["doc"]), pa.array(p["th"]), pa.array(p["lo"]), pa.array(p["more"].astype(np.int32) + WINDOW),
+                pa.array(p["h"].view(np.int64), mask=np.full(n, what == "gone")), pa.array(ahead),
             ],
             ["doc", "th", "lo", "size", "h", "ahead"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, part = [], None
-        for batch in batches:
-            for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if part is not None and p != part:
-                    yield judge(held)
-                    held = []
-                part = p
-                held.append(blob)
-        if held:
-            yield judge(held)
+        blobs = (r for batch in batches for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for part, own in itertools.groupby(blobs, key=lambda r: r[0]):
+            pieces = (_unpack(blob) for _, blob in own)
+            for places, what in ((p, "gone") for p in pieces) if part < 0 else settled(pieces, HOT, FOLD):
+                if len(places["h"]):
+                    yield rows(places, what)
 
     return dealt.mapInArrow(run, _FOUND)
 
@@ -402,31 +466,44 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes |
 
 
 def _cut(met: DataFrame) -> DataFrame:
-    """A row for each edge with its bytes: (h, doc, th, lo, context)."""
+    """A row for each edge with its bytes: (h, doc, th, lo, context).
+
+    Of equal windows that are cut together the first has its bytes, the others
+    (known to go) have none and are spread by place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         names = ["h", "doc", "th", "lo", "context"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        out: list[list] = [[] for _ in names]
+        out: list[tuple] = []
+        windows: dict[bytes, tuple[int, int, int]] = {}
         size, before = 0, None
         for doc, th, text, edges in _met(batches):
             if text is not None and before != (doc, th):
                 before = (doc, th)
-                for lo, length, h, ahead in edges:
+                # A hot anchor's place is here twice if its row is.
+                for lo, length, h, ahead in dict.fromkeys(map(tuple, edges)):
                     bytes_ = text[lo : lo + length]
-                    new = [(h, lo, bytes_)]
-                    if ahead < 0:
-                        some = [(lo + k, bytes_[k : k + WINDOW]) for k in range(length - WINDOW + 1)]
-                        new = [(xxhash.xxh64_intdigest(b) - 2**63, at, b) for at, b in some]
-                    for h_, at, b in new:
-                        for column, value in zip(out, (h_, doc, th, at, b)):
-                            column.append(value)
-                        size += len(b)
+                    size += length
+                    if ahead >= 0:
+                        out.append((h, doc, th, lo, bytes_))
+                        continue
+                    for k in range(length - WINDOW + 1):
+                        window, place = bytes_[k : k + WINDOW], (doc, th, lo + k)
+                        earlier = windows.setdefault(window, place)
+                        if earlier is place:
+                            size += WINDOW
+                            continue
+                        windows[window] = min(earlier, place)
+                        d, t, at = max(earlier, place)
+                        out.append(((d * 0x9E3779B1 + at) & (2**63 - 1), d, t, at, None))
             if size > SLICE or text is None:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names)
-                out, size = [[] for _ in names], 0
+                out += [(xxhash.xxh64_intdigest(w) - 2**63, *place, w) for w, place in windows.items()]
+                columns = zip(*out) if out else [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names)
+                out, windows, size = [], {}, 0
 
     return met.mapInArrow(run, "h long, doc long, th long, lo int, context binary")
 
@@ -434,6 +511,10 @@ def _cut(met: DataFrame) -> DataFrame:
 def _sorted_spans(edges: DataFrame) -> DataFrame:
     """(doc, th, lo, size): runs of windows that repeat an earlier one.  Rows come sorted by h."""
 
+    def spans(doc: np.ndarray, th: np.ndarray, lo: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        some = [pa.array(doc), pa.array(th), pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(some, ["doc", "th", "lo", "size"])
+
     def judge(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         h, doc, th, lo, length = (np.concatenate([p[k] for p in held]) for k in range(5))
         data = np.concatenate([p[5] for p in held])
@@ -451,18 +532,17 @@ def _sorted_spans(edges: DataFrame) -> DataFrame:
         run = gone & ~np.concatenate([[False], gone[:-1] & (which[1:] == which[:-1])])
         last = gone & ~np.concatenate([gone[1:] & (which[1:] == which[:-1]), [False]])
         a, b = np.flatnonzero(run), np.flatnonzero(last)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc[which[a]]), pa.array(th[which[a]]), pa.array(start[a].astype(np.int32)),
-                pa.array((start[b] - start[a] + WINDOW).astype(np.int32)),
-            ],
-            ["doc", "th", "lo", "size"],
-        )
+        return spans(doc[which[a]], th[which[a]], start[a], start[b] - start[a] + WINDOW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size, last = 0, None
         for batch in batches:
+            known = batch.filter(pc.is_null(batch.column("context")))
+            if known.num_rows:
+                doc, th, lo = (known.column(n).to_numpy() for n in ("doc", "th", "lo"))
+                yield spans(doc, th, lo, np.full(len(lo), WINDOW))
+            batch = batch.filter(pc.is_valid(batch.column("context")))
             if not batch.num_rows:
                 continue
             h, doc, th, lo = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("h", "doc", "th", "lo"))
@@ -475,6 +555,21 @@ def _sorted_spans(edges: DataFrame) -> DataFrame:
                 if size > BATCH and h[a] != last:
                     yield judge(held)
                     held, size = [], 0
+                elif size > BATCH and all(g[0][0] == last and np.all(g[4] == WINDOW) for g in held):
+                    # Windows of one hash: the first of equal ones stands for them.
+                    _, d, t, at, _, data = (np.concatenate(x) for x in zip(*held))
+                    first, again = thinned(d, t, at, data)
+                    yield spans(d[again], t[again], at[again], np.full(len(again), WINDOW))
+                    data = data.reshape(-1, WINDOW)[first].ravel()
+                    n = len(first)
+                    held = [(np.full(n, last), d[first], t[first], at[first], np.full(n, WINDOW), data)]
+                    size = len(data)
+                elif size > BATCH and held[0][0][0] != last:
+                    # Groups before this one are whole.
+                    own = next(k for k, g in enumerate(held) if g[0][0] == last)
+                    yield judge(held[:own])
+                    held = held[own:]
+                    size = sum(len(g[5]) for g in held)
                 data = np.frombuffer(b"".join(contexts[a:b]), np.uint8)
                 held.append((h[a:b], doc[a:b], th[a:b], lo[a:b].astype(np.int64), length[a:b], data))
                 size += len(data)
