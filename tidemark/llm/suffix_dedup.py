@@ -377,7 +377,9 @@ def _anchor_rows(docs: DataFrame, parts: int) -> DataFrame:
                 "h": a["h"], "c": a["c"], "doc": of(0), "th": of(1), "lo": a["lo"] - begin + of(2),
                 "ahead": a["at"] - a["lo"], "more": a["hi"] - a["lo"],
             }
-            kept, gone = firsts(columns)
+            # Back in order of the texts: neighbours share their document, which packs well.
+            row = {"row": np.arange(len(a["h"]))}
+            kept, gone = (_some(p, np.argsort(p["row"])) for p in firsts(columns | row))
             part = (kept["h"] % _U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             part = part[order]
