@@ -53,7 +53,7 @@ def test_steps_against_numpy(spark):
     names = q.DIMENSIONS
     df = spark.createDataFrame([("p", *map(float, r)) for r in x], ["__pool", *names])
     limits = q.Limits()
-    estimate = q._start(df, limits)
+    estimate = q._starts(df, limits).where("__start = 0")
     med = np.array([np.sort(c)[299] for c in x.T])
     dev = np.array([np.sort(np.abs(c - m))[299] for c, m in zip(x.T, med)])
     mean, cov = med, np.diag(np.maximum(dev * 1.4826, limits.floor) ** 2)
@@ -84,6 +84,41 @@ def test_steps_against_numpy(spark):
     assert [r["d"] for r in got] == pytest.approx(list(want), rel=1e-6)
 
 
+def test_rest_of_smaller_determinant(spark):
+    """Both starts go on until they rest; planted outliers don't shape the end."""
+    rng = np.random.default_rng(2)
+    line = rng.normal(size=(500, 1)) * np.array([[4.0, 4.0, 1.0, 1.0, 1.0]])
+    x = line + rng.normal(size=(500, 5)) * 0.3
+    # Off the line, yet near the middle of every single dimension.
+    x[:100, :2] = rng.normal(size=(100, 2)) * 0.2 + np.array([2.5, -2.5])
+    df = spark.createDataFrame([(p, *map(float, r)) for p in "ab" for r in x], ["__pool", *q.DIMENSIONS])
+    limits = q.Limits()
+    ends = {r["__pool"]: r for r in q.concentrated(df, limits).withColumn("v", q._volume()).collect()}
+    assert set(ends) == {"a", "b"} and ends["a"]["v"] == ends["b"]["v"]
+    alone = []
+    now = q._starts(df.where("__pool = 'a'"), limits)
+    for start in range(2):
+        one = now.where(f"__start = {start}")
+        for _ in range(4):
+            one = spark.createDataFrame(q._step(df, one, limits).collect())
+        alone.append(one.select(q._volume().alias("v")).first()["v"])
+    assert ends["a"]["v"] <= min(alone) + 0.01
+    some = spark.createDataFrame([ends["a"]]).drop("__pool")
+    far = [r["d"] > q.chi_square_cut(limits.tail, 5) for r in df.where("__pool = 'a'").crossJoin(some).select(q.distance(q.DIMENSIONS).alias("d")).collect()]
+    assert sum(far[:100]) >= 95 and not any(far[100:])
+    assert q.concentrated(df.where("false"), limits).count() == 0
+
+
+def test_rows_stay_in_place(spark):
+    """Estimates of a hot pool are broadcast: no join of rows by pool."""
+    rows = [("hot" if k % 3 else f"p{k % 7}", *(float((k * j) % 11) for j in range(1, 6))) for k in range(900)]
+    df = spark.createDataFrame(rows, ["__pool", *q.DIMENSIONS])
+    limits = q.Limits()
+    for plan in (q._starts(df, limits), q._step(df, q._starts(df, limits), limits)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
 def test_query_and_clean_documents(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     out = op7_quality_rules(spark, FOLDER)

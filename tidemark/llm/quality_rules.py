@@ -2,14 +2,18 @@
 
 Every document becomes a vector of transformed statistics.  For each language
 and source the minimum-covariance-determinant estimate is found by
-concentration steps: from a start at medians and absolute deviations, the mean
-and covariance of the share of documents nearest to the present estimate are
-the next estimate.  A document is rejected where its squared Mahalanobis
+concentration steps: the mean and covariance of the share of documents nearest to
+the present estimate are the next estimate, until the determinant no longer falls.
+There are two starts, medians with absolute deviations and medians with the
+covariance of spatial signs (which knows correlations); the end of smaller
+determinant counts.  A document is rejected where its squared Mahalanobis
 distance is over a cut of the chi-square distribution.
 
 A step is one aggregation: distances go into narrow buckets, moments are summed
 per group and bucket (map-side first, so a hot source is a few hundred rows per
-task), and running sums over buckets give the moments of the nearest share.
+task), and running sums over buckets give the moments of the nearest share.  Both
+starts of all groups step together, and a group that has come to rest drops out.
+Estimates are broadcast while they are under BROADCAST bytes, so rows stay in place.
 
 Defined results: a null text is empty (no words, so it fails the fixed limits);
 null languages and sources are groups of their own; groups under ``least``
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +45,8 @@ DIMENSIONS = ("x_length", "x_word", "x_symbol", "x_repeat", "x_line")
 class Limits:
     """``share`` of a group that shapes its estimate; ``tail`` of clean rows beyond the cut.
 
+    ``fall``: a group rests when a step lowers the logarithm of its determinant by no
+    more.  The floors bound it from below, so that the steps end.
     ``floor``: least standard deviation of each dimension.  Most clean groups
     have no symbols and no repeated lines at all, and a rare symbol there must
     not make an outlier.
@@ -47,7 +54,7 @@ class Limits:
 
     share: float = 0.75
     tail: float = 1e-9
-    steps: int = 5
+    fall: float = 0.001
     least: int = 200
     min_words: int = 50
     max_repeat_pct: int = 50
@@ -179,49 +186,92 @@ def _pools(df: DataFrame, least: int) -> DataFrame:
     return df.join(counts, same, "left").drop("__lang", "__source")
 
 
-def _start(df: DataFrame, limits: Limits) -> DataFrame:
-    """Median and absolute deviation of each dimension, uncorrelated."""
-    names = DIMENSIONS
-    mid = df.groupBy("__pool").agg(
-        *[F.percentile_approx(x, 0.5).alias(f"m_{i}") for i, x in enumerate(names)]
+_KEY = ("__pool", "__start")
+_SHAPE = (
+    *(f"m_{i}" for i in range(len(DIMENSIONS))),
+    *(f"l_{i}_{j}" for i in range(len(DIMENSIONS)) for j in range(i + 1)),
+)
+
+
+def _starts(df: DataFrame, limits: Limits) -> DataFrame:
+    """Estimates to begin with: medians, and deviations (0) or the covariance of spatial signs (1)."""
+    d = range(len(DIMENSIONS))
+    mid = df.groupBy("__pool").agg(*[F.percentile_approx(x, 0.5).alias(f"m_{i}") for i, x in enumerate(DIMENSIONS)])
+    mid = checked(stage(mid, "quality-medians"), F.lit(400))
+    m = [f"m_{i}" for i in d]
+    off = df.join(mid, "__pool").groupBy("__pool", *m).agg(
+        *[F.percentile_approx(F.abs(F.col(x) - F.col(m[i])), 0.5).alias(f"s_{i}") for i, x in enumerate(DIMENSIONS)]
+    )
+    wide = [F.greatest(F.col(f"s_{i}") * 1.4826, F.lit(limits.floor[i])).alias(f"s_{i}") for i in d]
+    off = stage(off.select("__pool", *m, *wide), "quality-deviations")
+    plain = off.select(
+        "__pool", F.lit(0).alias("__start"), *m,
+        *[(F.col(f"s_{i}") if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i in d for j in range(i + 1)],
     )
-    off = df.join(mid, "__pool").groupBy("__pool").agg(
-        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(names))],
-        *[
-            F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), 0.5).alias(f"s_{i}")
-            for i, x in enumerate(names)
-        ],
+    z = [(F.col(x) - F.col(m[i])) / F.col(f"s_{i}") for i, x in enumerate(DIMENSIONS)]
+    size = F.nullif(sum((x * x for x in z[1:]), z[0] * z[0]), F.lit(0.0))
+    scales = [f"s_{i}" for i in d]
+    signs = df.join(checked(off, F.lit(400)), "__pool").groupBy("__pool", *m, *scales).agg(
+        *[F.coalesce(F.avg(z[i] * z[j] / size), F.lit(0.0)).alias(f"c_{i}_{j}") for i in d for j in range(i + 1)]
     )
-    zero = {f"l_{i}_{j}": F.lit(0.0) for i in range(len(names)) for j in range(i)}
-    wide = {
-        f"l_{i}_{i}": F.greatest(F.col(f"s_{i}") * 1.4826, F.lit(limits.floor[i]))
-        for i in range(len(names))
+    cov = {
+        f"c_{i}_{j}": F.col(f"c_{i}_{j}") * F.col(f"s_{i}") * F.col(f"s_{j}") * len(DIMENSIONS)
+        + (limits.floor[i] ** 2 if i == j else 0.0)
+        for i in d for j in range(i + 1)
     }
-    return off.withColumns({**zero, **wide}).drop(*[f"s_{i}" for i in range(len(names))])
+    signs = signs.withColumns(cov).drop(*scales).withColumn("__start", F.lit(1))
+    return plain.unionByName(_cholesky(signs, len(DIMENSIONS)))
+
+
+def _volume() -> Column:
+    """Logarithm of the determinant."""
+    return 2 * sum((F.log(f"l_{i}_{i}") for i in range(1, len(DIMENSIONS))), F.log("l_0_0"))
+
+
+def concentrated(df: DataFrame, limits: Limits) -> DataFrame:
+    """(__pool, m_i, l_i_j): for each pool the estimate at rest of smaller determinant."""
+    first = stage(_starts(df, limits), "quality-start")
+    now = stage(_step(df, first, limits), "quality-estimate")
+    rested = []
+    while not now.isEmpty():
+        before = now.select(*_KEY, _volume().alias("__before"), F.struct(*_SHAPE).alias("__was"))
+        moved = _step(df, now, limits).withColumn("__now", _volume())
+        both = stage(moved.join(before, list(_KEY)), "quality-estimate")
+        falls = F.col("__now") < F.col("__before") - limits.fall
+        better = F.when(F.col("__now") < F.col("__before"), F.struct(*_SHAPE)).otherwise(F.col("__was"))
+        rested.append(
+            both.where(~falls).select(*_KEY, F.least("__now", "__before").alias("__volume"), better.alias("__e"))
+        )
+        now = both.where(falls).select(*_KEY, *_SHAPE)
+    if not rested:
+        return first.select("__pool", *_SHAPE)
+    ends = reduce(DataFrame.unionAll, rested)
+    best = ends.groupBy("__pool").agg(F.min_by("__e", F.struct("__volume", "__start")).alias("__e"))
+    return stage(best.select("__pool", "__e.*"), "quality-estimate")
 
 
 def _step(df: DataFrame, estimate: DataFrame, limits: Limits) -> DataFrame:
-    """The estimate from the share of each pool nearest to ``estimate``."""
+    """The estimates from the share of each pool nearest to ``estimate``, a stage table."""
     d = len(DIMENSIONS)
     pairs = [(i, j) for i in range(d) for j in range(i + 1)]
-    near = df.join(estimate, "__pool").withColumn(
+    near = df.join(checked(estimate, F.lit(400)), "__pool").withColumn(
         "__bucket", F.floor(F.log2(distance(DIMENSIONS) + 1e-6) * 16).cast("int")
     )
     # Centred on the present estimate, so that the sums lose no digits.
     x = [F.col(n) - F.col(f"m_{i}") for i, n in enumerate(DIMENSIONS)]
-    cells = near.groupBy("__pool", "__bucket", *[f"m_{i}" for i in range(d)]).agg(
+    cells = near.groupBy(*_KEY, "__bucket", *[f"m_{i}" for i in range(d)]).agg(
         F.count("*").alias("n"),
         *[F.sum(x[i]).alias(f"s_{i}") for i in range(d)],
         *[F.sum(x[i] * x[j]).alias(f"q_{i}_{j}") for i, j in pairs],
     )
-    up_to = W.partitionBy("__pool").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+    up_to = W.partitionBy(*_KEY).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumns(
         {
             "before": F.coalesce(F.sum("n").over(up_to), F.lit(0)),
-            "all": F.sum("n").over(W.partitionBy("__pool")),
+            "all": F.sum("n").over(W.partitionBy(*_KEY)),
         }
     ).where(F.col("before") < F.col("all") * limits.share)
-    sums = cells.groupBy("__pool", *[f"m_{i}" for i in range(d)]).agg(
+    sums = cells.groupBy(*_KEY, *[f"m_{i}" for i in range(d)]).agg(
         F.sum("n").alias("n"),
         *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(d)],
         *[F.sum(f"q_{i}_{j}").alias(f"q_{i}_{j}") for i, j in pairs],
@@ -235,7 +285,7 @@ def _step(df: DataFrame, estimate: DataFrame, limits: Limits) -> DataFrame:
     moved = {f"m_{i}": F.col(f"m_{i}") + F.col(f"s_{i}") / F.col("n") for i in range(d)}
     wide = sums.withColumns({**cov, **moved})
     return _cholesky(
-        wide.select("__pool", *[f"m_{i}" for i in range(d)], *[f"c_{i}_{j}" for i, j in pairs]), d
+        wide.select(*_KEY, *[f"m_{i}" for i in range(d)], *[f"c_{i}_{j}" for i, j in pairs]), d
     )
 
 
@@ -245,9 +295,7 @@ def judge(df: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataF
     # The statistics are read again for every step: a narrow table of its own.
     rows = vector(_pools(counted, limits.least))
     seen = rows.where(F.col("n_words") > 0).select("__pool", *DIMENSIONS)
-    estimate = stage(_start(seen, limits), "quality-estimate")
-    for _ in range(limits.steps):
-        estimate = stage(_step(seen, estimate, limits), "quality-estimate")
+    estimate = concentrated(seen, limits)
     failed = (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.max_repeat_pct * F.col("n_words")
     )
