@@ -118,13 +118,14 @@ def raw_transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roles are learned from four fifths of the conversations and recovered for all of them."""
+    """Roles are learned from four fifths of the conversations and recovered for all of them.
+
+    The rows are consecutive pieces of a transcript; where a row ends is no evidence.
+    """
     ship(spark)
-    raw = raw_transcripts(table(spark, sf_dir, "conversations"))
-    held = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
-    model = transcripts.train(transcripts.lines(raw.where(~held), role="role"))
-    found = transcripts.turns(transcripts.decode(transcripts.lines(raw), model))
-    return found.withColumnRenamed("conv", "conv_id")
+    chunks = transcripts.pack(raw_transcripts(table(spark, sf_dir, "conversations")), role="role")
+    held = F.crc32(F.coalesce(F.col("conv").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    return transcripts.turns(chunks, transcripts.train(chunks.where(~held))).withColumnRenamed("conv", "conv_id")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
