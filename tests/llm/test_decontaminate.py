@@ -60,6 +60,33 @@ def test_shuffled_when_too_large_to_broadcast(spark, docs, monkeypatch):
     assert [(r["doc_id"], r["n_shared"], r["n_shingles"]) for r in found] == [(1, 10, 10)]
 
 
+def test_common_stem_is_in_no_sketch_but_of_items_without_more(spark, docs):
+    """A stem that all items share doesn't make every item a candidate of each document that holds it."""
+    stem = "which of the following statements is true about the"
+    names = [f"subject{i} ending{i} here{i} with{i} more{i} words{i}" for i in range(40)]
+    items = [(i, f"{stem} {x}") for i, x in enumerate(names)] + [(99, stem)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, f"{stem} nothing"), (2, f"so {stem} {names[7]} end"), (3, " ".join(names)), (4, "clean")]
+    prepared = d.prepare(bench)
+    lists = [r["__items"] for r in d.sketches(prepared).collect()]
+    assert max(map(len, lists)) == 1
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, item_id int, n_shared int")
+    got = d.leaks(df, bench)
+    assert sorted(got.columns) == ["doc_id", "item_id", "n_shared", "n_shingles", "text_hash"]
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == _brute(rows, items) == {(1, 99), (2, 7), (2, 99)}
+
+
+def test_texts_are_split_once_for_all_widths(spark, docs):
+    items = [(1, "one"), (2, "two words"), (3, "three whole words"), (4, "now four words here"), (5, ITEM)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(k, t) for k, (_, t) in enumerate(items * 2)] + [(50, "ONE. now, four words; here two words")]
+    assert sorted((r["doc_id"], r["item_id"]) for r in d.leaks(docs(rows), bench).collect()) == sorted(_brute(rows, items))
+    prepared = d.prepare(bench)
+    read = docs(rows).select(d.F.col("doc_id").alias("__id"), text.whole(d.F.col("text")).alias("__text"))
+    plan = d.candidates(read, prepared, [1, 2, 3, 4, 5])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "Union" not in plan
+
+
 def test_empty_tables(spark, docs):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert d.leaks(docs([]), bench).count() == 0

@@ -7,19 +7,21 @@ parts words.
 
 Search.  Items are partitioned by size, the number q of their shingles.  A
 document may miss at most m = q - ceil(0.8 q) of them, so it holds one at
-least of the m + 1 shingles with the smallest hashes: that bottom part is the
-item's sketch, its length fixed by the size partition, and looking it up loses
-nothing.  Banded sketches of whole documents would need thousands of hashes to
-find 20 shingles among 20,000 and could still miss some.  A document with fewer
-shingles than a size partition asks for isn't compared with it.
-
-Verification.  For the documents that were found, the shingles themselves are
-intersected with those of the candidate items.
-
-Sketches and item shingles are broadcast while they are under BROADCAST bytes, as
+least of any m + 1.  The item's sketch is the m + 1 shingles that the fewest
+items have, of equally rare ones those with the smallest hashes: its length is fixed
+by the size partition, and looking it up loses nothing.  A stem that many items share
+is in a sketch only where an item has nothing else.  Banded sketches of whole documents
+would need thousands of hashes to find 20 shingles among 20,000 and could still miss some.
+A document with fewer shingles than a size partition asks for isn't compared with it.
+
+Verification.  The distinct runs of the documents that were found are counted for each
+candidate item that has them, as strings.
+
+The texts are read once for all widths of shingles, and once more for the documents that
+were found.  Sketches and item shingles are broadcast while they are under BROADCAST bytes, as
 measured; a larger benchmark is joined by shuffles.  The rows of a document never
 gather in one task: shingles are generated where the text is read, and what is
-shuffled is one row per document and item that has a sketch hit.
+shuffled is one row per document and item that has a sketch hit, then one for each shingle of theirs.
 
 Defined results: null texts are empty and leak nothing; items without words are
 never found; repeated items (same id and text) count once, an id with several
@@ -30,6 +32,7 @@ document id is a value.  Empty tables give an empty result.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.staging import stage
@@ -61,7 +64,7 @@ def run_hash(w: Column, at: Column, size: int) -> Column:
 
 
 def prepare(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """A row for each distinct item with words: its shingles, and how many a leak needs."""
+    """A row for each shingle of each distinct item with words: its hash and run, and how many a leak needs of how many."""
     rows = items.select(F.col(key).alias("item_id"), whole(F.col(text)).alias("__t")).distinct()
     rows = rows.select(
         "item_id", F.xxhash64("item_id", "__t").alias("__item"), plain_words(F.col("__t")).alias("__w")
@@ -70,57 +73,53 @@ def prepare(items: DataFrame, key: str = "item_id", text: str = "text") -> DataF
     rows = rows.withColumn("__n", F.least(F.lit(WORDS), F.size("__w")))
     rows = rows.withColumn("__shingles", shingles(F.col("__w"), F.col("__n")))
     q = F.size("__shingles")
-    return stage(rows.withColumn("__need", F.ceil(q * CONTAINED - 1e-9).cast("int")).drop("__w"), "items")
+    rows = rows.withColumns({"__q": q, "__need": F.ceil(q * CONTAINED - 1e-9).cast("int")})
+    rows = rows.select("item_id", "__item", "__n", "__q", "__need", F.explode("__shingles").alias("__run"))
+    # The hash of a document's run is of its words, so the words are hashed here too.
+    words = F.split("__run", " ")
+    hashed = run_hash(words, F.lit(0), WORDS)
+    for n in range(1, WORDS):
+        hashed = F.when(F.col("__n") == n, run_hash(words, F.lit(0), n)).otherwise(hashed)
+    return stage(rows.withColumn("__hash", hashed), "items")
 
 
 def sketches(items: DataFrame) -> DataFrame:
-    """(hash, items): the smallest hashes of each item, as many as its size asks for."""
-    misses = F.size("__shingles") - F.col("__need")
-    # The hash of a document's run is of its words, so the words are hashed here too.
-    hashed = F.transform(
-        "__shingles",
-        lambda s: F.when(F.col("__n") == 1, run_hash(F.split(s, " "), F.lit(0), 1))
-        .when(F.col("__n") == 2, run_hash(F.split(s, " "), F.lit(0), 2))
-        .when(F.col("__n") == 3, run_hash(F.split(s, " "), F.lit(0), 3))
-        .when(F.col("__n") == 4, run_hash(F.split(s, " "), F.lit(0), 4))
-        .otherwise(run_hash(F.split(s, " "), F.lit(0), 5)),
-    )
-    bottom = F.slice(F.sort_array(F.array_distinct(hashed)), F.lit(1), misses + 1)
-    rows = items.select("__n", "__item", "__need", F.explode(bottom).alias("__hash"))
-    return rows.groupBy("__n", "__hash").agg(
-        F.collect_list(F.struct("__item", "__need")).alias("__items")
-    )
+    """(width, hash, items): the rarest shingles of each item, as many as its size asks for."""
+    shared = items.groupBy("__n", "__hash").agg(F.count("*").alias("__often"))
+    w = W.partitionBy("__item").orderBy("__often", "__hash", "__run")
+    ranked = items.join(shared, ["__n", "__hash"]).withColumn("__place", F.row_number().over(w))
+    bottom = ranked.where(F.col("__place") <= F.col("__q") - F.col("__need") + 1)
+    return bottom.groupBy("__n", "__hash").agg(F.collect_set(F.struct("__item", "__need")).alias("__items"))
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _runs(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """``rows`` (with __w, of which __size words) repeated for each run: __at, __n and __hash.
+
+    Runs of a width that don't fit at a place have a null hash.
+    """
+    # No filter on the words: it would move below them and split the text twice.
+    last = F.size("__w") - min(widths)
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    at = rows.withColumn("__at", F.explode(places))
+    fits = lambda n: F.when(F.col("__at") + n <= F.size("__w"), run_hash(F.col("__w"), F.col("__at"), n))
+    if len(widths) == 1:
+        return at.withColumns({"__n": F.lit(widths[0]), "__hash": fits(widths[0])})
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), fits(n).alias("h")) for n in widths]))
+    return at.withColumn("__x", each).withColumns({"__n": F.col("__x.n"), "__hash": F.col("__x.h")}).drop("__x")
+
+
+def candidates(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
     """(__id, __text_hash, __items): documents and the items that a sketch found in them.
 
     ``docs`` has __id and __text.
     """
     found = stage(sketches(items), "sketches")
-    sizes = sorted(r[0] for r in found.select("__n").distinct().collect())  # of 1 to 5
-    parts = []
+    found = checked(found, F.size("__items") * 12 + 32).withColumnRenamed("__items", "__hits")
     w = docs.select("__id", F.xxhash64("__text").alias("__text_hash"), plain_words(F.col("__text")).alias("__w"))
-    for n in sizes:
-        some = found.where(F.col("__n") == n).drop("__n")
-        some = checked(some, F.size("__items") * 12 + 32)
-        # No filter on the words: it would move below them and split the text twice.
-        last = F.size("__w") - n
-        places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        at = w.select("__id", "__text_hash", "__w", F.explode(places).alias("__at"))
-        runs = at.select(
-            "__id", "__text_hash", F.size("__w").alias("__size"), run_hash(F.col("__w"), F.col("__at"), n).alias("__hash")
-        )
-        hits = runs.join(some, "__hash").select(
-            "__id", "__text_hash", "__size", F.explode("__items").alias("__x")
-        )
-        parts.append(hits.where(F.col("__size") - (n - 1) >= F.col("__x.__need")).select("__id", "__text_hash", F.col("__x.__item").alias("__item")))
-    if not parts:
-        return docs.select("__id", F.lit(0).cast("long").alias("__text_hash"), F.array().cast("array<bigint>").alias("__items")).limit(0)
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    return union.groupBy("__id", "__text_hash").agg(F.collect_set("__item").alias("__items"))
+    runs = _runs(w, widths).select("__id", "__text_hash", F.size("__w").alias("__size"), "__n", "__hash")
+    hits = runs.join(found, ["__n", "__hash"]).select("__id", "__text_hash", "__size", "__n", F.explode("__hits").alias("__x"))
+    hits = hits.where(F.col("__size") - (F.col("__n") - 1) >= F.col("__x.__need"))
+    return hits.groupBy("__id", "__text_hash").agg(F.collect_set("__x.__item").alias("__items"))
 
 
 def leaks(
@@ -130,24 +129,28 @@ def leaks(
     """(key, text_hash, item_id, n_shared, n_shingles) for each item that a document holds."""
     rows = docs.select(F.col(f"`{key}`").alias("__id"), whole(F.col(f"`{text}`")).alias("__text"))
     prepared = prepare(items, item_key, item_text)
-    found = stage(candidates(rows, prepared), "candidates")
+    widths = sorted(r[0] for r in prepared.select("__n").distinct().collect()) or [WORDS]  # of 1 to 5
+    found = stage(candidates(rows, prepared, widths), "candidates")
     found = checked(found, F.size("__items") * 8 + 32).withColumnsRenamed({"__id": "__cid", "__text_hash": "__chash"})
     same = F.col("__id").eqNullSafe(F.col("__cid")) & (F.xxhash64("__text") == F.col("__chash"))
     pairs = rows.join(found, same).select(
-        "__id", "__chash", "__items", plain_words(F.col("__text")).alias("__w")
+        "__id", "__chash", "__items", "__text", F.monotonically_increasing_id().alias("__row")
     )
-    pairs = pairs.withColumn("__s", shingles(F.col("__w"), F.lit(WORDS)))
-    pairs = pairs.select("__id", "__chash", "__w", "__s", F.explode("__items").alias("__item"))
-    size = F.aggregate("__shingles", F.lit(0), lambda a, s: a + F.length(s) + 32)
-    both = pairs.join(checked(prepared, size), "__item")
-    own = F.when(F.col("__n") == WORDS, F.col("__s")).otherwise(shingles(F.col("__w"), F.col("__n")))
-    shared = F.size(F.array_intersect("__shingles", own))
-    return both.withColumn("n_shared", shared).where(F.col("n_shared") >= F.col("__need")).select(
+    # Written, since the number of a row must not change.
+    pairs = stage(pairs, "found")
+    w = pairs.select("__id", "__chash", "__row", "__items", plain_words(F.col("__text")).alias("__w"))
+    known = checked(prepared, F.length("__run") + 64)
+    hits = _runs(w, widths).join(known, ["__n", "__hash"])
+    equal = F.concat_ws(" ", F.slice("__w", F.col("__at") + 1, F.col("__n"))) == F.col("__run")
+    hits = hits.where(F.array_contains("__items", F.col("__item")) & equal)
+    of = ["__row", "__id", "__chash", "__item", "item_id", "__q", "__need"]
+    shared = hits.select(*of, "__run").distinct().groupBy(*of).agg(F.count("*").alias("n_shared"))
+    return shared.where(F.col("n_shared") >= F.col("__need")).select(
         F.col("__id").alias(key),
         F.col("__chash").alias("text_hash"),
         "item_id",
-        F.col("n_shared").cast("long").alias("n_shared"),
-        F.size("__shingles").cast("long").alias("n_shingles"),
+        "n_shared",
+        F.col("__q").cast("long").alias("n_shingles"),
     )
 
 
