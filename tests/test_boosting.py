@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,29 @@ def test_nulls_and_empty_tables(spark, noisy, tmp_path):
     assert again.losses == model.losses and again.objective == model.objective
     both = holes.select(model.predicted(spark).alias("x"), again.predicted(spark).alias("y"))
     assert both.where("x <> y").isEmpty()
+
+
+def test_paths_and_ends_are_those_of_a_walk(spark):
+    rng = np.random.default_rng(5)
+    tree = b.Tree.empty(4)
+    for n in range(1, 16):
+        if (n == 1 or tree.feature[n // 2] >= 0) and n not in (5, 6):
+            tree.feature[n], tree.bin[n] = rng.integers(0, 3), rng.integers(0, 5)
+    bins = rng.integers(0, 6, (3, 500)).astype(np.uint8)
+    for depth in range(5):
+        want = []
+        for row in bins.T:
+            n = 1
+            for _ in range(depth):
+                if tree.feature[n] >= 0:
+                    n = 2 * n + int(row[tree.feature[n]] > tree.bin[n])
+            want.append(n)
+        assert tree.ends(depth)[tree.paths(bins, depth)].tolist() == want
+
+
+def test_nothing_is_written_while_trees_grow(spark, noisy):
+    """Margins were once written out whole every few rounds."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    b.grow(noisy, ["a", "b"], [b.Objective("squared")], F.col("clv_target"), rules=b.replace(RULES, rounds=2 * b.REWRITE + 1, patience=100))
+    assert len(set(folder.iterdir()) - before) == 1
