@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import utc
-from tidemark.operators import features, snapshots
+from tidemark.operators import features, panes, snapshots
 from tidemark.settings import FeatureRules
 
 SNAPS = ["2020-03-31 08:26:00", "2020-04-30 08:26:00", "2020-05-31 08:26:00"]
@@ -233,3 +233,13 @@ def test_short_range(make_lines):
         snapshots.snapshot_dates(lines).collect()
     only = snapshots.snapshot_dates(lines, short_range="latest").collect()
     assert [r[0] for r in only] == [utc("2020-03-01 09:00:00")]
+
+
+def test_tasks_follow_the_number_of_lines(make_lines, make_snapshots, monkeypatch):
+    """Pane rows were dealt to as many tasks as their size before the repeat by snapshot asked for."""
+    lines = make_lines([(i % 50, i, 1, f"2020-0{1 + i % 2}-{1 + i % 27:02} 10:00:00", 1, 2) for i in range(300)])
+    monkeypatch.setattr(panes, "TASK_LINES", 10)
+    calendar = features.calendar_for(make_snapshots(*SNAPS))
+    for df in (features._activity_rows(lines, calendar, FeatureRules()), features._dealt(lines.withColumnRenamed("CustomerID", "customer_id"), lines, "StockCode")):
+        assert df.rdd.getNumPartitions() == 30
+    assert features.activity_features(lines, calendar).count() > 0

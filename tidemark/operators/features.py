@@ -28,6 +28,7 @@ from tidemark.operators.panes import (
     into_panes,
     over_snapshots,
     spread_by,
+    within,
 )
 from tidemark.settings import FeatureRules
 
@@ -116,13 +117,13 @@ def _daily(lines: DataFrame, calendar: Calendar) -> DataFrame:
     )
 
 
-def _with_previous(daily: DataFrame) -> DataFrame:
+def _with_previous(placed: DataFrame) -> DataFrame:
     """Add the previous visit, and an anchor value for stable variance sums.
 
     The window holds one customer's days, so it is bounded by the calendar.
     """
     life = W.partitionBy("customer_id").orderBy("first_us")
-    return spread_by(daily, "customer_id").withColumns(
+    return placed.withColumns(
         {
             "previous_us": F.lag("last_us").over(life),
             "anchor": F.first("mean").over(life),
@@ -139,8 +140,9 @@ def _activity_rows(lines: DataFrame, calendar: Calendar, rules: FeatureRules) ->
         c("previous_us") >= c("snapshot_us") - reach,
         whole_days_from_micros(c("previous_us"), c("first_us")),
     )
+    placed = spread_by(_daily(lines, calendar), within(lines, calendar), "customer_id")
     return (
-        over_snapshots(_with_previous(_daily(lines, calendar)), calendar)
+        over_snapshots(_with_previous(placed), calendar)
         .where("in_observation")
         .withColumn("gap", gap)
     )
@@ -294,7 +296,7 @@ def _dealt(panes: DataFrame, lines: DataFrame, part: str) -> DataFrame:
     )
     share = F.pmod(F.xxhash64(part), F.coalesce("shares", F.lit(1).cast("long")))
     dealt = panes.join(F.broadcast(heavy), "customer_id", "left").withColumn("share", share)
-    return spread_by(dealt.drop("shares"), "customer_id", "share")
+    return spread_by(dealt.drop("shares"), lines, "customer_id", "share")
 
 
 def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:

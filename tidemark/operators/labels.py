@@ -19,6 +19,7 @@ from tidemark.operators.panes import (
     into_panes,
     over_snapshots,
     spread_by,
+    within,
 )
 from tidemark.settings import ChurnRules, ValueRules
 
@@ -49,7 +50,7 @@ def customer_history(
             F.max("__us").alias("last_us"),
         ],
     )
-    seen = over_snapshots(spread_by(panes, "customer_id"), calendar)
+    seen = over_snapshots(spread_by(panes, within(lines, calendar), "customer_id"), calendar)
     past = F.col("in_observation")
     grouped = seen.groupBy("customer_id", "snapshot_date", "snapshot_us").agg(
         F.sum(F.when(past, F.col("n"))).alias("transaction_count"),
@@ -200,7 +201,7 @@ def clv_targets(
     last = lines.agg(F.max("InvoiceDate").alias("m"))
     horizon = F.col("snapshot_date") + F.make_dt_interval(F.lit(rules.horizon_days))
     return (
-        over_snapshots(spread_by(panes, "customer_id"), calendar)
+        over_snapshots(spread_by(panes, within(lines, calendar), "customer_id"), calendar)
         .groupBy("customer_id", "snapshot_date")
         .agg(
             F.bool_or("in_observation").alias("observed"),

@@ -14,6 +14,7 @@ they may be broadcast.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -91,12 +92,7 @@ def into_panes(
     by_day: bool = False,
 ) -> DataFrame:
     """Aggregate lines to (keys, pane), or (keys, day, pane); lines in no window drop out."""
-    # The outer bounds are literals, so they reach the scan as pushed filters.
-    needed = lines.where(
-        (F.col("InvoiceDate") >= F.timestamp_micros(F.lit(calendar.first_us)))
-        & (F.col("InvoiceDate") < F.timestamp_micros(F.lit(calendar.last_us)))
-    )
-    timed = needed.withColumn("__us", micros("InvoiceDate")).withColumn(
+    timed = within(lines, calendar).withColumn("__us", micros("InvoiceDate")).withColumn(
         "day_no", F.floor(F.col("__us") / F.lit(DAY_MICROS))
     )
     placed = timed.join(F.broadcast(calendar.pieces), "day_no").where(
@@ -111,11 +107,27 @@ def over_snapshots(panes: DataFrame, calendar: Calendar) -> DataFrame:
     return panes.join(F.broadcast(calendar.coverage), "pane")
 
 
-def spread_by(panes: DataFrame, *keys: str) -> DataFrame:
+#: Lines whose pane rows one task takes.
+TASK_LINES = 100_000
+
+
+def within(lines: DataFrame, calendar: Calendar) -> DataFrame:
+    """Lines in the calendar's range."""
+    # The outer bounds are literals, so they reach the scan as pushed filters.
+    return lines.where(
+        (F.col("InvoiceDate") >= F.timestamp_micros(F.lit(calendar.first_us)))
+        & (F.col("InvoiceDate") < F.timestamp_micros(F.lit(calendar.last_us)))
+    )
+
+
+def spread_by(panes: DataFrame, lines: DataFrame, *keys: str) -> DataFrame:
     """Place pane rows by key before repeating them.
 
     The repeat and the aggregation by (keys, snapshot) that follows then stay in
     the partition.  A key has at most one row per pane (and day), so one hot
-    key is bounded by the calendar.
+    key is bounded by the calendar.  The number of partitions follows the counted ``lines`` behind
+    the panes: sizes at run time are those before the repeat, and partitions merged by
+    them would hold many times as much after it.
     """
-    return panes.repartition(*keys)
+    tasks = max(math.ceil(lines.count() / TASK_LINES), panes.sparkSession.sparkContext.defaultParallelism)
+    return panes.repartition(tasks, *keys)
