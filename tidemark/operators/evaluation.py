@@ -367,8 +367,9 @@ def decile_analysis(
     Deciles are quantile bins of the row index (not equal counts), so the row
     at index i of n falls in ceil(10 i / (n - 1)).
     """
-    # Best first; a null prediction comes last.
-    place = F.coalesce(-F.col(predicted).cast("double"), F.lit(float("inf")))
+    # Best first; a null prediction comes last.  Not the negative: a zero of minus sign in the written
+    # rows is not found by a filter for zero.
+    place = F.coalesce(F.lit(0.0) - F.col(predicted).cast("double"), F.lit(float("inf")))
     rows = scored.select(
         *key, F.col(actual).alias("actual"), F.col(predicted).alias("predicted"), place.alias("v")
     )
