@@ -91,7 +91,8 @@ class Inputs:
 
     @property
     def lines(self) -> DataFrame:
-        return self._staged("clean", lambda: self.plan.lines())
+        # Derived columns are cheaper to make than to read.
+        return cleaning.derive(self._staged("clean", lambda: self.plan.regular()))
 
     @property
     def snapshots(self) -> DataFrame:

@@ -126,3 +126,13 @@ def test_no_outlier_rule_without_positive_quantities(spark):
         ", ".join(f"{c} string" for c in COLUMNS),
     )
     assert cleaning.clean_transactions(df).count() == 4
+
+
+def test_lines_do_not_move_to_meet_the_customers_to_drop(spark):
+    rows = [(f"{i}", "s", "d", 1.0, "2020-01-01 10:00:00", 2.0, float(i % 40), "x") for i in range(200)]
+    raw = spark.createDataFrame(rows + [("n", "s", "d", 1.0, "2020-01-01 10:00:00", 2.0, 99.0, "x")],
+        "InvoiceNo string, StockCode string, Description string, Quantity double, InvoiceDate string, UnitPrice double, CustomerID double, Country string")
+    regular = cleaning.plan_cleaning(raw).regular()
+    assert regular.where("CustomerID = 99").isEmpty() and regular.count() == 200
+    plan = regular._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

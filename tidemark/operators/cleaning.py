@@ -191,8 +191,16 @@ class Cleaning:
     def inliers(self) -> DataFrame:
         return self.valid.where(price_ok(self.limits) & quantity_ok(self.limits))
 
+    def regular(self) -> DataFrame:
+        """Cleaned lines without the derived columns.
+
+        The customers to drop are written first: with their size known beforehand the lines
+        are not shuffled to meet a few of them.
+        """
+        return keep_regular_customers(self.inliers, stage(too_few_rows(self.inliers, self.rules), "few"))
+
     def lines(self) -> DataFrame:
-        return derive(keep_regular_customers(self.inliers, too_few_rows(self.inliers, self.rules)))
+        return derive(self.regular())
 
     def statistics(self) -> DataFrame:
         """One row of counters; every count is charged to the rule that removed the row."""
@@ -250,7 +258,7 @@ class Cleaning:
 
 
 def plan_cleaning(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaning:
-    """Write the tagged rows once, find the scalar limits; the cleaned rows stay lazy.
+    """Write the tagged rows once, find the scalar limits; of the cleaned rows only the customers to drop are written.
 
     The raw rows are read once: valid rows and all counters come from the written ones.  (An
     ``Observation`` of the write would do for the counters, but after one the session can't be
