@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,14 @@ def test_model_reloads_and_fills(spark, points, tmp_path):
     assert seg.medians[0] == pytest.approx(np.median([r[0] for r in rfm.where("rfm_recency_days is not null").select("rfm_recency_days").collect()]))
     measured = clustering.davies_bouldin(seg, rfm).first()
     assert measured["k"] == 4 and 0 < measured["davies_bouldin"] < 1
+
+
+def test_blocks_are_read_in_bounded_pieces():
+    """Distances of a whole block to all cells were once made in one piece."""
+    n = 2 * kmeans.CHUNK + 7
+    ids, x = np.arange(n, dtype="<i8"), np.arange(2.0 * n)
+    batch = pa.RecordBatch.from_arrays([pa.array([ids.tobytes()] * 2), pa.array([x.tobytes()] * 2)], ["id", "x"])
+    pieces = list(kmeans._Blocks(2).read(iter([batch])))
+    assert max(len(i) for i, _ in pieces) == kmeans.CHUNK
+    assert np.concatenate([i for i, _ in pieces]).tolist() == 2 * ids.tolist()
+    assert np.concatenate([v for _, v in pieces]).ravel().tolist() == 2 * x.tolist()

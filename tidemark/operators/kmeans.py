@@ -28,7 +28,7 @@ from tidemark.functions.staging import stage
 from tidemark.functions.workers import ship
 
 CELLS = 2048
-#: Rows of a silhouette that are compared with all cells at once.
+#: Rows that are compared with all centres or cells at once.
 CHUNK = 512
 #: Files of rows up to which the driver adds up the parts of a pass itself.
 FEW = 64
@@ -107,8 +107,10 @@ class _Blocks:
 
     def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
-            for ids, x in zip(batch.column("id").to_pylist(), batch.column("x").to_pylist()):
-                yield np.frombuffer(ids, "<i8"), np.frombuffer(x, "<f8").reshape(-1, self.width)
+            for id_, x_ in zip(batch.column("id"), batch.column("x")):
+                ids, x = np.frombuffer(id_.as_buffer(), "<i8"), np.frombuffer(x_.as_buffer(), "<f8").reshape(-1, self.width)
+                for at in range(0, len(ids), CHUNK):
+                    yield ids[at : at + CHUNK], x[at : at + CHUNK]
 
 
 def _chances(ids: np.ndarray, salt: int) -> np.ndarray:
@@ -247,28 +249,29 @@ def silhouettes(data: Vectors, models: Sequence[Model], cells: int = CELLS) -> l
 
     def judged(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
         out = np.zeros(2 * len(centres))
-        for c in range(0, len(x), CHUNK):
-            some = x[c : c + CHUNK]
-            every = np.arange(len(some))
-            near, own = _squares(some, drawn).argmin(axis=1), label(some)
-            # Differences, not products, so that a row's distance to its own cell's mean is exact.
-            away_ = np.sqrt(((some[:, None, :] - means[None]) ** 2).sum(axis=2))
-            sums = away_ @ weights
-            mean = np.where(sizes > 0, sums / np.maximum(sizes, 1), np.inf)
-            for m, (lo, hi) in enumerate(zip(starts, starts[1:])):
-                k = own[:, m]
-                others = sizes[k] - 1
-                a = (sums[every, k] - away_[every, near]) / np.maximum(others, 1)
-                rest = mean[:, lo:hi].copy()
-                rest[every, k - lo] = np.inf
-                b = rest.min(axis=1)
-                alone = (others < 1) | ~np.isfinite(b)
-                top = np.maximum(np.maximum(a, b), 1e-300)
-                out[2 * m] += np.where(alone, 0.0, (b - a) / np.where(alone, 1.0, top)).sum()
-                off_a = error[k] * sizes[k] / np.maximum(others, 1)
-                off_b = error[lo:hi].max()
-                room = np.maximum(top - np.maximum(off_a, off_b), 1e-300)
-                out[2 * m + 1] += np.where(alone, 0.0, np.minimum((off_a + off_b) / room, 2.0)).sum()
+        every = np.arange(len(x))
+        near, own = _squares(x, drawn).argmin(axis=1), label(x)
+        # Differences, not products, so that a row's distance to its own cell's mean is exact; input by input.
+        away_ = np.zeros((len(x), len(means)))
+        for d in range(width):
+            away_ += (x[:, d, None] - means[None, :, d]) ** 2
+        away_ = np.sqrt(away_)
+        sums = away_ @ weights
+        mean = np.where(sizes > 0, sums / np.maximum(sizes, 1), np.inf)
+        for m, (lo, hi) in enumerate(zip(starts, starts[1:])):
+            k = own[:, m]
+            others = sizes[k] - 1
+            a = (sums[every, k] - away_[every, near]) / np.maximum(others, 1)
+            rest = mean[:, lo:hi].copy()
+            rest[every, k - lo] = np.inf
+            b = rest.min(axis=1)
+            alone = (others < 1) | ~np.isfinite(b)
+            top = np.maximum(np.maximum(a, b), 1e-300)
+            out[2 * m] += np.where(alone, 0.0, (b - a) / np.where(alone, 1.0, top)).sum()
+            off_a = error[k] * sizes[k] / np.maximum(others, 1)
+            off_b = error[lo:hi].max()
+            room = np.maximum(top - np.maximum(off_a, off_b), 1e-300)
+            out[2 * m + 1] += np.where(alone, 0.0, np.minimum((off_a + off_b) / room, 2.0)).sum()
         return out
 
     totals = data.sums(2 * len(centres), judged) / max(rows, 1)
