@@ -153,3 +153,33 @@ def test_nothing_is_written_while_trees_grow(spark, noisy):
     before = set(folder.iterdir())
     b.grow(noisy, ["a", "b"], [b.Objective("squared")], F.col("clv_target"), rules=b.replace(RULES, rounds=2 * b.REWRITE + 1, patience=100))
     assert len(set(folder.iterdir()) - before) == 1
+
+
+def test_an_ensemble_that_has_stopped_leaves_the_passes(spark, noisy, monkeypatch):
+    """All objectives were once added up until the last of them stopped."""
+    seen, level_pass = [], b._level_pass
+
+    def recorded(state, trees, *rest):
+        seen.append(len(trees))
+        return level_pass(state, trees, *rest)
+
+    args = (["a", "b"], [b.Objective("squared"), b.Objective("quantile", 0.5)], F.col("clv_target"))
+    alone, = b.grow(noisy, args[0], args[1][:1], args[2], rules=RULES)
+    monkeypatch.setattr(b, "_level_pass", recorded)
+    # The squared losses are the large ones.
+    monkeypatch.setattr(b, "best_round", lambda losses, *rest: (len(losses), len(losses) >= (2 if losses[0] > 15 else 4)))
+    one, two = b.grow(noisy, *args, rules=RULES)
+    assert (len(one.trees), len(two.trees)) == (2, 4) and _same(one.trees, alone.trees[:2])
+    assert seen[0] == 2 and seen[-1] == 1
+
+
+def test_columns_of_a_block_come_back():
+    rng = np.random.default_rng(1)
+    n = 1000
+    block = {"id": np.arange(n) + 7, "y": rng.normal(size=n), "weight": np.ones(n), "held": rng.random(n) < 0.5}
+    block["bins"] = rng.integers(0, 64, (3, n)).astype(np.uint8)
+    for change in ({}, {"id": np.arange(n) * 2, "y": rng.integers(0, 2, n) * 1.0, "weight": rng.integers(0, 3, n) / 7}, {"held": np.zeros(n, bool)}):
+        want = block | change
+        packed = b._packed(want)
+        found = b._block({c: packed.column(c)[0].as_py() for c in packed.schema.names}, 3)
+        assert all((found[c] == want[c]).all() and len(found[c]) == len(want[c]) for c in want)
