@@ -25,6 +25,7 @@ from tidemark.operators import (
     evaluation,
     features,
     labels,
+    panes,
     prediction,
     quality,
     segments,
@@ -108,9 +109,12 @@ class Inputs:
 
     @property
     def features(self) -> DataFrame:
-        return self._staged(
-            "features", lambda: features.customer_features(self.lines, self.snapshots)
-        )
+        def make() -> DataFrame:
+            found = features.customer_features(self.lines, self.snapshots)
+            # Already written, but for one column; many rows are not written again.
+            return found if panes.many(self.lines) else stage(found, "features")
+
+        return self._once("features", make)
 
     @property
     def latest_features(self) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 from datetime import timedelta
+from pathlib import Path
 from statistics import mean, median, stdev
 
 import pytest
@@ -243,3 +244,25 @@ def test_tasks_follow_the_number_of_lines(make_lines, make_snapshots, monkeypatc
     for df in (features._activity_rows(lines, calendar, FeatureRules()), features._dealt(lines.withColumnRenamed("CustomerID", "customer_id"), lines, "StockCode")):
         assert df.rdd.getNumPartitions() == 30
     assert features.activity_features(lines, calendar).count() > 0
+
+
+def test_features_of_many_lines_are_written_once_and_the_same(spark, make_lines, make_snapshots, monkeypatch):
+    """The features of all snapshots were once written twice."""
+    import query_registry
+
+    rows = [(c, 10 * c + k, (c * k) % 5, f"2021-0{1 + (c + k) % 6}-1{k} 10:00:00", k - 1.5, 2.0 + c) for c in range(1, 9) for k in range(1, 6)]
+    given = make_lines(rows), make_snapshots("2021-04-30 00:00:00", "2021-06-30 00:00:00")
+
+    class Given(query_registry.Inputs):
+        lines = property(lambda self: given[0])
+        snapshots = property(lambda self: given[1])
+
+    def made(name):
+        return sorted(map(tuple, Given(spark, name).features.collect()))
+
+    few = made("few")
+    monkeypatch.setattr(panes, "TASK_LINES", 10)
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    assert made("many") == few
+    assert len([p for p in set(folder.iterdir()) - before if p.name.startswith("features-")]) == 1

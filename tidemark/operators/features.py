@@ -24,8 +24,11 @@ from tidemark.functions.staging import stage
 from tidemark.operators.panes import (
     Calendar,
     Span,
+    PACKED,
+    WHERE_THEY_ARE,
     build_calendar,
     into_panes,
+    many,
     over_snapshots,
     spread_by,
     within,
@@ -299,6 +302,12 @@ def _dealt(panes: DataFrame, lines: DataFrame, part: str) -> DataFrame:
     return spread_by(dealt.drop("shares"), lines, "customer_id", "share")
 
 
+def _by_customer_again(parts: DataFrame, lines: DataFrame, calendar: Calendar) -> DataFrame:
+    """The shares of a customer in one place, that of the customer's activity rows."""
+    observed = within(lines, calendar)
+    return spread_by(parts, observed, "customer_id") if many(observed) else parts
+
+
 def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
     """Distinct products and 1 - sum of squared line shares (diversity).
 
@@ -322,7 +331,7 @@ def product_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
     parts = per_product.groupBy("customer_id", "share", "snapshot_date").agg(
         F.count(F.lit(1)).alias("products"), F.sum(n).alias("n"), F.sum(n * n).alias("squares")
     )
-    return parts.groupBy(*KEYS).agg(
+    return _by_customer_again(parts, lines, calendar).groupBy(*KEYS).agg(
         F.sum("products").alias("unique_products_count"),
         (1 - F.sum("squares") / (F.sum(n) * F.sum(n))).alias("product_diversity_hhi"),
     )
@@ -351,7 +360,7 @@ def basket_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
         F.avg("size").alias("mean"),
         (F.var_pop("size") * F.count("size")).alias("off"),
     )
-    merged = parts.groupBy(*KEYS).agg(
+    merged = _by_customer_again(parts, lines, calendar).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("shares"),
         F.sum(n).alias("n"),
         F.sum(n * mean).alias("total"),
@@ -371,9 +380,13 @@ def basket_features(lines: DataFrame, calendar: Calendar) -> DataFrame:
 # --- all groups -----------------------------------------------------------------
 
 
-def normalise_engagement(features: DataFrame) -> DataFrame:
+def _best_scores(features: DataFrame) -> DataFrame:
+    return features.groupBy("snapshot_date").agg(F.max("engagement_score").alias("best"))
+
+
+def normalise_engagement(features: DataFrame, best: DataFrame | None = None) -> DataFrame:
     """Score over the best score of its snapshot; one broadcast row per snapshot."""
-    best = features.groupBy("snapshot_date").agg(F.max("engagement_score").alias("best"))
+    best = _best_scores(features) if best is None else best
     return (
         features.join(F.broadcast(best), "snapshot_date")
         .withColumn("engagement_score_normalized", ratio(F.col("engagement_score"), F.col("best")))
@@ -391,8 +404,13 @@ def customer_features(
         .join(product_features(lines, calendar), list(KEYS))
         .join(basket_features(lines, calendar), list(KEYS))
     )
-    # Read twice below (best score per snapshot, and the rows): written once.
-    scored = normalise_engagement(stage(joined, "features"))
+    # Read twice below (best score per snapshot, and the rows): written once.  All sides lie by customer,
+    # so that none of the rows, many times those of the lines' panes, moves again.
+    if many(within(lines, calendar)):
+        written = stage(joined, "features", PACKED, WHERE_THEY_ARE)
+        scored = normalise_engagement(written, stage(_best_scores(written), "best"))
+    else:
+        scored = normalise_engagement(stage(joined, "features"))
     days = rules.observation_days
     return scored.select(
         "customer_id",

@@ -120,6 +120,17 @@ def within(lines: DataFrame, calendar: Calendar) -> DataFrame:
     )
 
 
+#: For tables of many rows: read a few times, so that their size counts for more than the time to pack them.
+PACKED = {"compression": "zstd"}
+#: Tables that lie by customer meet where they are, also on customer and snapshot.
+WHERE_THEY_ARE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def many(lines: DataFrame) -> bool:
+    """Whether ``spread_by`` counts out the tasks; fewer rows are laid out as Spark likes."""
+    return lines.count() > TASK_LINES
+
+
 def spread_by(panes: DataFrame, lines: DataFrame, *keys: str) -> DataFrame:
     """Place pane rows by key before repeating them.
 
